@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import PORTAL_A, PORTAL_B, WEB_PAGES
+from ..config import PORTAL_A, PORTAL_B, SOURCES, WEB_PAGES
 from ..functions.html import attribute_of, element_text, find_inner
 from ..functions.text import int_half_even, number_before_space
 from ..operators.cities import city_positional, with_city
@@ -28,6 +28,8 @@ from ..sources.cities import grid_to_dictionary, read_city_dictionary
 from ..sources.jdbc import read_jdbc
 from ..sources.pages import missing_pages, page_catalogue
 from . import testview as tv
+from .pipeline import ingest
+from .portal_pages import portal_pages
 from .testview import SNAPSHOT_DATE, TEST_KEYWORDS, TEST_MAIN_CITIES, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,7 +78,7 @@ def q_area_bucket_counts(spark, sf):
 
 
 def q_urgency_counts(spark, sf):
-    od = table(spark, sf, "orders")
+    od = table(spark, sf, "orders", ["o_orderstatus", "o_orderpriority"])
     typ = (F.when(F.col("o_orderstatus") == "O", "rent").when(F.col("o_orderstatus") == "F", "sell")
            .otherwise("room"))
     return (od.select(typ.alias("type"), urgency(F.col("o_orderpriority"), TEST_KEYWORDS).alias("urgency"))
@@ -96,7 +98,7 @@ def q_room_defaults(spark, sf):
 
 
 def q_snapshot_filter(spark, sf):
-    od = table(spark, sf, "orders")
+    od = table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
     snap = od.filter(tv.snapshot_window(F.col("o_orderdate"), SNAPSHOT_DATE))
     return snap.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                        tv.week_of(F.col("o_orderdate")).alias("download_date"))
@@ -114,8 +116,8 @@ def q_union_sources(spark, sf):
 # ---- text cleaning (CLN-1..13, EXT-8) --------------------------------------------------------------------
 
 def _lineitem_texts(spark, sf):
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
-                                               "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+    return table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                                               "l_discount", "l_tax", "l_returnflag", "l_linestatus"])
 
 
 def q_price_text_parse(spark, sf):
@@ -164,7 +166,7 @@ def q_city_positional(spark, sf):
 # ---- page extraction (EXT-1..4) --------------------------------------------------------------------------
 
 def _page_items(spark, sf) -> DataFrame:
-    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    pages = table(spark, sf, "pages", ["page_id", "url", "html"])
     items = split_containers(pages.withColumn("lang", tv.page_lang(F.col("url"))), WEB_PAGES, ("page_id", "lang"))
     return items.select("page_id", "lang", "pos",
                         attribute_of(F.col("body"), "a", "href").alias("item_href"),
@@ -182,14 +184,14 @@ def q_page_items_skip_promoted(spark, sf):
 
 
 def q_page_title(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", "html")
+    pages = table(spark, sf, "pages", ["page_id", "html"])
     return pages.select("page_id", element_text(find_inner(F.col("html"), "h1")).alias("title"))
 
 
 # ---- sources and sinks (SRC-1,2,4,6; SNK-1..3) -----------------------------------------------------------
 
 def _document_catalogue(spark, sf) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    docs = table(spark, sf, "documents", ["doc_id", "lang"])
     return docs.select(F.lit("web").alias("source"), F.col("lang").alias("type"), F.col("doc_id").alias("page"),
                        F.concat(F.lit("https://pages.example/"), F.col("lang"), F.lit("/"),
                                 F.col("doc_id").cast("string")).alias("url"),
@@ -198,12 +200,12 @@ def _document_catalogue(spark, sf) -> DataFrame:
 
 def q_missing_pages(spark, sf):
     expected = _document_catalogue(spark, sf)
-    landed = table(spark, sf, "pages").select(F.lit("web").alias("source"), F.col("page_id").alias("page"))
+    landed = table(spark, sf, "pages", ["page_id"]).select(F.lit("web").alias("source"), F.col("page_id").alias("page"))
     return missing_pages(expected, landed, ("source", "page"))
 
 
 def q_page_catalogue(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = table(spark, sf, "documents", ["doc_id", "lang"])
     cfg = docs.groupBy("lang").agg(F.min("doc_id").alias("first_page"), F.max("doc_id").alias("last_page"))
     cfg = cfg.select(F.lit("web").alias("source"), F.col("lang").alias("type"),
                      F.concat(F.lit("https://pages.example/"), F.col("lang"), F.lit("/?page={}")).alias("url_template"),
@@ -224,7 +226,7 @@ DERBY_PROPS = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
 def q_jdbc_round_trip(spark, sf):
     import uuid
     url = DERBY_URL.format(uuid.uuid4().hex[:12])
-    nation = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    nation = table(spark, sf, "nation", ["n_nationkey", "n_name", "n_regionkey"], spread_out=False)
     write_jdbc(nation, url, "NATION", DERBY_PROPS, mode="overwrite",
                column_types="n_name VARCHAR(64)")
     back = read_jdbc(spark, url, "NATION", DERBY_PROPS, partition_column="n_nationkey", lower_bound=0,
@@ -234,7 +236,7 @@ def q_jdbc_round_trip(spark, sf):
 
 
 def q_snapshot_rewrite(spark, sf):
-    od = table(spark, sf, "orders")
+    od = table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus"])
     snap = od.select("o_orderkey", "o_custkey", "o_totalprice",
                      F.date_trunc("month", F.col("o_orderdate")).cast("date").alias("download_date"),
                      F.lit("orders").alias("source"),
@@ -254,6 +256,18 @@ def q_snapshot_city_summary(spark, sf):
     return city_summary(read_snapshot(spark, path, SNAPSHOT_DATE), SNAPSHOT_DATE)
 
 
+# ---- the whole job on rendered portal pages (EXT-1..11, CLN-*, PRJ-*, SET-1, AGG-6) ------------------------
+
+def q_portal_ingest(spark, sf):
+    """Pages in both portals' markup -> listings of one snapshot (the original scrapers' work, distributed)."""
+    cities = grid_to_dictionary(tv.dictionary_grid(spark, sf))
+    return ingest(portal_pages(spark, sf), SOURCES, cities, SNAPSHOT_DATE)
+
+
+def q_portal_ingest_summary(spark, sf):
+    return city_summary(q_portal_ingest(spark, sf), SNAPSHOT_DATE)
+
+
 QUERIES: dict[str, Query] = {
     "city_summary": q_city_summary,
     "city_summary_history": q_city_summary_history,
@@ -283,4 +297,6 @@ QUERIES: dict[str, Query] = {
     "jdbc_round_trip": q_jdbc_round_trip,
     "snapshot_rewrite": q_snapshot_rewrite,
     "snapshot_city_summary": q_snapshot_city_summary,
+    "portal_ingest": q_portal_ingest,
+    "portal_ingest_summary": q_portal_ingest_summary,
 }

@@ -12,6 +12,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 # --- fixed values of the test mapping --------------------------------------------------------------------
 SNAPSHOT_DATE = _dt.date(1998, 6, 1)            # a Monday: one weekly snapshot
 TEST_KEYWORDS = ("URGENT", "HIGH")               # urgency keywords that occur in o_orderpriority
@@ -22,8 +24,20 @@ ASK_NFD = "Zapytaj o cene\u0328"               # same text, decomposed
 # ----------------------------------------------------------------------------------------------------------
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Fact inputs with heavy per-row work, and their key: a single-file copy is spread over all cores by hash.
+# Dimension-like tables are left alone (they are broadcast or joined as they are).
+SPREAD_KEYS = {"lineitem": "l_orderkey", "pages": "page_id"}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread_out: bool = True) -> DataFrame:
+    """A driver table, pruned to ``columns`` at the scan and spread over all cores when it is one big file."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if columns is not None:
+        df = df.select(*columns)
+    key = SPREAD_KEYS.get(name)
+    if not spread_out or key is None or (columns is not None and key not in columns):
+        return df
+    return spread(df, key)
 
 
 def week_of(ts: Column) -> Column:
@@ -44,14 +58,14 @@ def listing_view(spark: SparkSession, sf_dir: str, snapshot_date: _dt.date | Non
     Join order is left to the optimizer; with a snapshot date the orders scan gets a pushed range filter
     and the lineitem side is reduced by the join (runtime filters / broadcast when the filtered side is small).
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
-                                                 "l_returnflag")
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
-                                               "o_orderpriority")
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                                                 "l_returnflag"])
+    od = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+                                               "o_orderpriority"])
     if snapshot_date is not None:
         od = od.filter(snapshot_window(F.col("o_orderdate"), snapshot_date))
-    cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    na = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    cu = table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    na = table(spark, sf_dir, "nation", ["n_nationkey", "n_name"], spread_out=False)
     j = (li.join(od, li.l_orderkey == od.o_orderkey)
          .join(cu, od.o_custkey == cu.c_custkey)
          .join(na, cu.c_nationkey == na.n_nationkey))
@@ -135,9 +149,9 @@ def spans_array() -> Column:
 # ---- locations rendered from customer x nation x region -------------------------------------------------
 
 def customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    na = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    re_ = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    cu = table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    na = table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"], spread_out=False)
+    re_ = table(spark, sf_dir, "region", ["r_regionkey", "r_name"], spread_out=False)
     return cu.join(na, cu.c_nationkey == na.n_nationkey).join(re_, na.n_regionkey == re_.r_regionkey)
 
 
@@ -160,8 +174,8 @@ def location_text_b() -> Column:
 
 def dictionary_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-column grid (nation name, region name): the city dictionary of the tests."""
-    na = table(spark, sf_dir, "nation").select("n_name", "n_regionkey")
-    re_ = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    na = table(spark, sf_dir, "nation", ["n_name", "n_regionkey"], spread_out=False)
+    re_ = table(spark, sf_dir, "region", ["r_regionkey", "r_name"], spread_out=False)
     return na.join(re_, na.n_regionkey == re_.r_regionkey).select(F.col("n_name").alias("c0"),
                                                                   F.col("r_name").alias("c1"))
 

@@ -18,6 +18,7 @@ def build_session(master: str | None = None, app: str = "flatwatch", shuffle_par
         builder = builder.master(master)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -80,3 +81,16 @@ def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     Beyond the bound the frame is returned unchanged, so the planner falls back to a shuffle join.
     """
     return F.broadcast(df) if row_count_at_most(df, max_rows) is not None else df
+
+
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Re-split a scan that yields fewer partitions than the cluster has cores (e.g. one large file).
+
+    Per-row work (regexes, parsing) then runs on every core. Hash partitioning on ``key`` needs no sort (a
+    round-robin split would sort every partition first) and lines up with a later join on that key. A many-file
+    input at scale already has enough partitions and passes through without a shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
