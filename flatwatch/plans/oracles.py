@@ -231,13 +231,14 @@ ORACLES: dict[str, str] = {
 
 # ---- full ingest of rendered portal pages (portal_pages.py) --------------------------------------------
 _PORTAL_BASE = """SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
-    o_orderpriority, c_acctbal, n_name,
+    l_linestatus, o_orderpriority, c_acctbal, n_name,
     CASE WHEN l_returnflag = 'R' THEN 'olx' ELSE 'otodom' END AS source, """ + TYPE_OF_STATUS + """ AS type
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
 PORTAL_INGEST = """WITH base AS (""" + _PORTAL_BASE + """),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY source, type ORDER BY l_orderkey, l_linenumber) AS rn FROM base),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source, type ORDER BY l_orderkey, l_linenumber, l_extendedprice,
+  l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) AS rn FROM base),
 kept AS (SELECT * FROM ranked WHERE source = 'olx' OR rn > 3),
 listing AS (SELECT
   'Mieszkanie ' || o_orderpriority || ' & ogród' ||

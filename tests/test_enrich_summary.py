@@ -1,0 +1,62 @@
+"""Derived columns (FIXTURES F5) and summaries (F6) on hand rows."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from flatwatch.operators.enrich import area_bucket, enrich, price_per_area, urgency
+from flatwatch.operators.summary import city_summary, city_summary_history, main_city_summary
+from flatwatch.schema import LISTING_BASE, SUMMARY_COLUMNS
+
+D, OTHER = dt.date(2024, 1, 1), dt.date(2024, 1, 8)
+
+
+def test_area_bucket(spark):
+    areas = [None, 0.0, 29.99, 30.0, 49.5, 50.0, 74.9, 75.0, 100.0, 100.5]
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(areas)], "i int, a double")
+    got = [r[0] for r in df.orderBy("i").select(area_bucket(F.col("a"))).collect()]
+    assert got == [">100", "<30", "<30", "30-49", "30-49", "50-74", "50-74", "75-100", "75-100", ">100"]
+
+
+def test_urgency_and_price_per_area(spark):
+    df = spark.createDataFrame([(0, "pilne!", 1000.0, 40.0), (1, "sprzedam pilnie", 1000.0, 0.0),
+                                (2, "PILNE", None, 40.0), (3, None, 1.0, None)],
+                               "i int, t string, p double, a double")
+    rows = df.orderBy("i").select(urgency(F.col("t")).alias("u"), price_per_area(F.col("p"), F.col("a")).alias("x"))
+    assert [(r.u, r.x) for r in rows.collect()] == [("urgent", 25.0), ("urgent", None), ("normal", None),
+                                                    ("normal", None)]
+
+
+def _listing(city, price, area, rooms, typ, source, date=D, title="t"):
+    return (title, price, city, area, rooms, date, typ, source)
+
+
+def test_room_defaults(spark):
+    df = spark.createDataFrame([_listing("A", 500.0, 10.0, None, "room", "olx"),
+                                _listing("A", 500.0, 10.0, 1, "room", "otodom")], LISTING_BASE)
+    rows = sorted(enrich(df).select("source", "sqm_bucket", "price_per_sqm").collect())
+    assert [tuple(r) for r in rows] == [("olx", "0", 0.0), ("otodom", "<30", 50.0)]
+
+
+def test_city_summary_cases(spark):
+    rows = [
+        _listing(None, 100.0, 10.0, 1, "rent", "otodom"),            # NULL-city group
+        _listing("B", None, 50.0, 2, "sell", "otodom"),              # all prices NULL
+        _listing("B", None, 51.0, 3, "sell", "olx"),
+        _listing("C", 1.0, 10.0, 1, "rent", "otodom"),               # mean exactly .5 rounds up
+        _listing("C", 2.0, 10.0, 2, "rent", "olx"),                  # both portals merged
+        _listing("C", 1000.0, 10.0, 2, "rent", "olx", date=OTHER),   # another date excluded
+    ]
+    listings = enrich(spark.createDataFrame(rows, LISTING_BASE))
+    s = city_summary(listings, D)
+    assert s.columns == list(SUMMARY_COLUMNS)
+    got = {(r.post_city, r.type): r for r in s.collect()}
+    assert set(got) == {(None, "rent"), ("B", "sell"), ("C", "rent")}
+    b = got[("B", "sell")]
+    assert (b.avg_price, b.min_price, b.max_price, b.number_of_posts, b.avg_sqmetrage) == (None, None, None, 2, 51.0)
+    c = got[("C", "rent")]
+    assert (c.avg_price, c.avg_rooms, c.number_of_posts, c.download_date) == (2.0, 2.0, 2, D)
+    assert main_city_summary(s, ("C", "B")).count() == 2
+    assert main_city_summary(s, ("C",)).filter(F.col("post_city").isNull()).count() == 0
+    hist = city_summary_history(listings)
+    assert hist.count() == 4 and hist.columns == list(SUMMARY_COLUMNS)
