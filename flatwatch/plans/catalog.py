@@ -238,7 +238,7 @@ def q_jdbc_round_trip(spark, sf):
 def q_snapshot_rewrite(spark, sf):
     od = table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus"])
     snap = od.select("o_orderkey", "o_custkey", "o_totalprice",
-                     F.date_trunc("month", F.col("o_orderdate")).cast("date").alias("download_date"),
+                     F.trunc(F.col("o_orderdate").cast("date"), "month").alias("download_date"),
                      F.lit("orders").alias("source"),
                      F.when(F.col("o_orderstatus") == "O", "rent").when(F.col("o_orderstatus") == "F", "sell")
                      .otherwise("room").alias("type"))

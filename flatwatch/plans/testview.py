@@ -41,15 +41,19 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread_out:
 
 
 def week_of(ts: Column) -> Column:
-    return F.date_trunc("week", ts).cast("date")
+    """Monday of the week of a wall-clock timestamp (``timestamp_ntz``): no time zone is involved."""
+    return F.trunc(ts.cast("date"), "week")
+
+
+def _ntz(d: _dt.date) -> Column:
+    return F.lit(d.isoformat() + " 00:00:00").cast("timestamp_ntz")
 
 
 def snapshot_window(ts: Column, snapshot_date: _dt.date) -> Column:
     """``week_of(ts) == snapshot_date`` as a range on the raw column, so the scan can skip row groups."""
     if snapshot_date.weekday() != 0:
         return F.lit(False)
-    start = _dt.datetime.combine(snapshot_date, _dt.time())
-    return (ts >= F.lit(start).cast("timestamp_ntz")) & (ts < F.lit(start + _dt.timedelta(days=7)).cast("timestamp_ntz"))
+    return (ts >= _ntz(snapshot_date)) & (ts < _ntz(snapshot_date + _dt.timedelta(days=7)))
 
 
 def listing_view(spark: SparkSession, sf_dir: str, snapshot_date: _dt.date | None = None) -> DataFrame:
