@@ -29,15 +29,25 @@ ASK_NFD = "Zapytaj o cene\u0328"               # same text, decomposed
 SPREAD_KEYS = {"lineitem": "l_orderkey", "pages": "page_id"}
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread_out: bool = True) -> DataFrame:
-    """A driver table, pruned to ``columns`` at the scan and spread over all cores when it is one big file."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if columns is not None:
-        df = df.select(*columns)
-    key = SPREAD_KEYS.get(name)
-    if not spread_out or key is None or (columns is not None and key not in columns):
-        return df
-    return spread(df, key)
+    """A driver table, pruned to ``columns`` at the scan and spread over all cores when it is one big file.
+
+    The driver tables are read-only, so the frame (its file listing and schema) is built once per session.
+    """
+    cache_key = (id(spark), sf_dir.rstrip("/"), name, tuple(columns) if columns is not None else None, spread_out)
+    df = _TABLES.get(cache_key)
+    if df is None:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        if columns is not None:
+            df = df.select(*columns)
+        key = SPREAD_KEYS.get(name)
+        if spread_out and key is not None and (columns is None or key in columns):
+            df = spread(df, key)
+        _TABLES[cache_key] = df
+    return df
 
 
 def week_of(ts: Column) -> Column:
