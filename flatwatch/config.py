@@ -27,6 +27,7 @@ class SourceConfig:
     area: Selector | None = None
     price_replacements: tuple[tuple[str, str], ...] = ()
     price_sentinels: tuple[str, ...] = ()
+    price_full_nfkd: bool = False           # full NFKD of the price text (Arrow UDF) before the replacements
     price_mode: str = "truncate"            # 'truncate' (to whole units) | 'round2'
     city_mode: str = "dictionary"           # 'dictionary' | 'positional'
     area_mode: str = "spans"                # 'spans' (number before space) | 'suffix_half_even'

@@ -18,6 +18,7 @@ from ..operators.cities import city_positional, with_city
 from ..operators.clean import area_from_spans, parse_price, rooms_from_spans
 from ..operators.enrich import enrich, price_per_area, urgency
 from ..operators.extract import split_containers
+from ..operators.quality import listing_quality
 from ..operators.skip import skip_leading
 from ..operators.summary import city_summary, city_summary_history, main_city_summary
 from ..operators.union import union_by_name
@@ -62,6 +63,10 @@ def q_avg_min_max_by_key(spark, sf):
         F.max("post_sqmetrage").alias("max_sqmetrage"))
 
 
+def q_listing_quality(spark, sf):
+    return listing_quality(_enriched(spark, sf), ("source", "type"))
+
+
 def q_posts_per_key(spark, sf):
     return tv.listing_view(spark, sf).groupBy("post_city", "source").agg(F.count(F.lit(1)).alias("number_of_posts"))
 
@@ -280,6 +285,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_filter": q_snapshot_filter,
     "avg_min_max_by_key": q_avg_min_max_by_key,
     "posts_per_key": q_posts_per_key,
+    "listing_quality": q_listing_quality,
     "price_text_parse": q_price_text_parse,
     "price_text_negotiable": q_price_text_negotiable,
     "city_dictionary_lookup": q_city_dictionary_lookup,

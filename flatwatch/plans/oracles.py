@@ -63,6 +63,13 @@ AVG_MIN_MAX_BY_KEY = """SELECT source, type, round(avg(post_price), 0) AS avg_pr
   max(post_sqmetrage) AS max_sqmetrage
 FROM (""" + ENR + ") e GROUP BY source, type"
 
+LISTING_QUALITY = """SELECT source, type, count(*) AS number_of_posts,
+  count(*) FILTER (WHERE post_price IS NULL) AS missing_price,
+  count(*) FILTER (WHERE post_city IS NULL) AS missing_city,
+  count(*) FILTER (WHERE post_sqmetrage IS NULL) AS missing_area,
+  count(*) FILTER (WHERE post_sqmetrage = 0) AS zero_area
+FROM (""" + ENR + ") e GROUP BY source, type"
+
 POSTS_PER_KEY = "SELECT post_city, source, count(*) AS number_of_posts FROM (" + LST + ") l GROUP BY post_city, source"
 
 AREA_BUCKET_COUNTS = ("SELECT source, type, sqm_bucket, count(*) AS number_of_posts FROM (" + ENR +
@@ -209,6 +216,7 @@ ORACLES: dict[str, str] = {
     "snapshot_filter": SNAPSHOT_FILTER,
     "avg_min_max_by_key": AVG_MIN_MAX_BY_KEY,
     "posts_per_key": POSTS_PER_KEY,
+    "listing_quality": LISTING_QUALITY,
     "price_text_parse": PRICE_TEXT_PARSE,
     "price_text_negotiable": PRICE_TEXT_NEGOTIABLE,
     "city_dictionary_lookup": CITY_DICTIONARY_LOOKUP,
