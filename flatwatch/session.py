@@ -57,18 +57,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "flatwatch", f"{name}-{uuid.uuid4().hex}")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, created: list | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage (a lost executor never re-runs the upstream stages) and lets a result that is
-    consumed twice be computed once.
+    consumed twice be computed once. The new folder is appended to ``created`` so the caller can
+    ``release`` it when every consumer has run.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    if created is not None:
+        created.append(path)
     return spark.read.parquet(path)
 
 
+def release(spark: SparkSession, paths) -> None:
+    """Delete intermediate tables (through the Hadoop file system of each path, so any shared store works)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        jp = jvm.org.apache.hadoop.fs.Path(p)
+        jp.getFileSystem(conf).delete(jp, True)
+
+
 def row_count_at_most(df: DataFrame, limit: int) -> int | None:
     """Number of rows if it is at most ``limit``, else None. Reads at most ``limit + 1`` rows."""
     n = df.limit(limit + 1).count()
