@@ -22,6 +22,8 @@ class SourceConfig:
     location: Selector | None
     # Container segment ends at its closing tag (True) or at the next container (False, for nesting tags).
     container_closes: bool = True
+    # Match tag names in any letter case (slower); the portals' markup is lowercase.
+    case_insensitive_tags: bool = False
     # Several values sharing one class (price, [fee], rooms, area); rooms/area are picked by position.
     spans: Selector | None = None
     area: Selector | None = None

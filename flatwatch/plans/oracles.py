@@ -158,10 +158,10 @@ CITY_POSITIONAL = (f"SELECT c_custkey, {LOCATION_TEXT_B} AS location_text, "
 CITY_DICTIONARY = "SELECT DISTINCT city FROM (" + _DICT + ") d WHERE city <> ''"
 
 # ---- pages ---------------------------------------------------------------------------------------------
-_LI = r"(?s)<(?i:li)\b[^>]*>(.*?)</(?i:li)\s*>"
-_HREF = r'(?s)<(?i:a)\b[^>]*?\bhref\s*=\s*"([^"]*)"'
-_A = r"(?s)<(?i:a)\b[^>]*>(.*?)</(?i:a)\s*>"
-_H1 = r"(?s)<(?i:h1)\b[^>]*>(.*?)</(?i:h1)\s*>"
+_LI = r"(?s)<li\b[^>]*>(.*?)</li\s*>"
+_HREF = r'(?s)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"'
+_A = r"(?s)<a\b[^>]*>(.*?)</a\s*>"
+_H1 = r"(?s)<h1\b[^>]*>(.*?)</h1\s*>"
 _LANG = r"^[a-z]+://[^/]+/([a-z]{2})/"
 
 
