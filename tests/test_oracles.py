@@ -40,9 +40,15 @@ def test_entry(spark):
     assert df.columns[-1] == "download_date"
 
 
+SQL_TYPE = {"StringType()": "VARCHAR", "DoubleType()": "DOUBLE", "LongType()": "BIGINT", "IntegerType()": "INTEGER",
+            "DateType()": "DATE", "BooleanType()": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    spark_types = {f.name: SQL_TYPE.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert _rows(df.columns, df.collect()) == _rows(rel.columns, rel.fetchall())
