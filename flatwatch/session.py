@@ -44,11 +44,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:      # no SparkContext on this client
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="flatwatch-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:
+            pass
     return root
 
 
@@ -102,7 +108,10 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
     round-robin split would sort every partition first) and lines up with a later join on that key. A many-file
     input at scale already has enough partitions and passes through without a shuffle.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:          # no RDD access (e.g. a remote session): leave partitioning to the server
         return df
     return df.repartition(target, key) if key else df.repartition(target)
