@@ -6,6 +6,7 @@ Column names equal those of the matching SQL in ``oracles.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -229,7 +230,6 @@ DERBY_PROPS = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
 
 
 def q_jdbc_round_trip(spark, sf):
-    import uuid
     url = DERBY_URL.format(uuid.uuid4().hex[:12])
     nation = table(spark, sf, "nation", ["n_nationkey", "n_name", "n_regionkey"], spread_out=False)
     write_jdbc(nation, url, "NATION", DERBY_PROPS, mode="overwrite",

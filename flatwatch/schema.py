@@ -34,17 +34,17 @@ PAGE = T.StructType([
     T.StructField("html", T.StringType(), True),
 ])
 
-# One row per post after extraction, before cleaning.
+# One row per post after extraction, before cleaning: the inner HTML of each configured field.
 POST_RAW = T.StructType([
-    T.StructField("source", T.StringType(), False),
-    T.StructField("type", T.StringType(), False),
-    T.StructField("page", T.LongType(), False),
-    T.StructField("pos", T.IntegerType(), False),
-    T.StructField("title_text", T.StringType(), True),
-    T.StructField("price_text", T.StringType(), True),
-    T.StructField("location_text", T.StringType(), True),
-    T.StructField("spans", T.ArrayType(T.StringType()), True),
-    T.StructField("area_text", T.StringType(), True),
+    T.StructField("source", T.StringType(), True),
+    T.StructField("type", T.StringType(), True),
+    T.StructField("page", T.LongType(), True),
+    T.StructField("pos", T.IntegerType(), True),
+    T.StructField("title_html", T.StringType(), True),
+    T.StructField("price_html", T.StringType(), True),
+    T.StructField("location_html", T.StringType(), True),
+    T.StructField("spans_html", T.ArrayType(T.StringType()), True),
+    T.StructField("area_html", T.StringType(), True),
 ])
 
 # Cleaned post (before the derived columns).
