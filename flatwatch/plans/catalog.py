@@ -206,7 +206,7 @@ def _document_catalogue(spark, sf) -> DataFrame:
 
 def q_missing_pages(spark, sf):
     expected = _document_catalogue(spark, sf)
-    landed = table(spark, sf, "pages", ["page_id"]).select(F.lit("web").alias("source"), F.col("page_id").alias("page"))
+    landed = table(spark, sf, "pages", ["page_id"], spread_out=False).select(F.lit("web").alias("source"), F.col("page_id").alias("page"))
     return missing_pages(expected, landed, ("source", "page"))
 
 
