@@ -169,11 +169,16 @@ def customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cu.join(na, cu.c_nationkey == na.n_nationkey).join(re_, na.n_regionkey == re_.r_regionkey)
 
 
+def _ascii_lower(c: Column) -> Column:
+    """Lower-case A-Z only (the names are ASCII; avoids the Unicode case-mapping path of ``lower``)."""
+    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def location_text_a() -> Column:
     """'ul. Długa <key>, <segment>, <nation>, <region>'; lower-cased names for a negative balance."""
     pos = F.col("c_acctbal") >= 0
-    nat = F.when(pos, F.col("n_name")).otherwise(F.lower(F.col("n_name")))
-    reg = F.when(pos, F.col("r_name")).otherwise(F.lower(F.col("r_name")))
+    nat = F.when(pos, F.col("n_name")).otherwise(_ascii_lower(F.col("n_name")))
+    reg = F.when(pos, F.col("r_name")).otherwise(_ascii_lower(F.col("r_name")))
     return F.concat(F.lit("ul. Długa "), F.col("c_custkey").cast("string"), F.lit(", "), F.col("c_mktsegment"),
                     F.lit(", "), nat, F.lit(", "), reg)
 
