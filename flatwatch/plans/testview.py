@@ -148,16 +148,32 @@ def area_text_b() -> Column:
     return F.when(F.col("l_returnflag") == "R", F.lit(None).cast("string")).otherwise(F.concat(num, F.lit(" m²")))
 
 
-def spans_array() -> Column:
-    """1..5 spans: [price], [price, area], [price, rooms, area], [price, fee, rooms, area], [+ floor]."""
+def _span_layouts(wrap):
+    """The five span layouts, each a list of (wrapped) texts: [price], [price, area], [price, rooms, area],
+    [price, fee, rooms, area], [price, fee, rooms, area, floor]; the count is min(line number, 5)."""
+    price = wrap(F.col("price_text"))
+    fee = wrap(F.concat(F.lit("+ czynsz "), F.floor(F.col("l_tax") * 1000).cast("bigint").cast("string"), F.lit(" zł")))
+    rooms, area = wrap(rooms_text()), wrap(area_text_a())
+    floor = wrap(F.concat(F.lit("piętro "), F.col("l_linenumber").cast("string")))
+    return [[price], [price, area], [price, rooms, area], [price, fee, rooms, area], [price, fee, rooms, area, floor]]
+
+
+def _by_span_count(options) -> Column:
     n = F.least(F.col("l_linenumber"), F.lit(5))
-    price = F.col("price_text")
-    fee = F.concat(F.lit("+ czynsz "), F.floor(F.col("l_tax") * 1000).cast("bigint").cast("string"), F.lit(" zł"))
-    rooms, area = rooms_text(), area_text_a()
-    floor = F.concat(F.lit("piętro "), F.col("l_linenumber").cast("string"))
-    return (F.when(n == 1, F.array(price)).when(n == 2, F.array(price, area))
-            .when(n == 3, F.array(price, rooms, area)).when(n == 4, F.array(price, fee, rooms, area))
-            .otherwise(F.array(price, fee, rooms, area, floor)))
+    out = F.when(n == 1, options[0])
+    for k in range(2, 5):
+        out = out.when(n == k, options[k - 1])
+    return out.otherwise(options[4])
+
+
+def spans_array() -> Column:
+    """The spans of a post as an array (1 to 5 texts)."""
+    return _by_span_count([F.array(*layout) for layout in _span_layouts(lambda c: c)])
+
+
+def spans_html(wrap) -> Column:
+    """The spans of a post as markup, each text wrapped by ``wrap`` (no higher-order function)."""
+    return _by_span_count([F.concat(*layout) for layout in _span_layouts(wrap)])
 
 
 # ---- locations rendered from customer x nation x region -------------------------------------------------
