@@ -127,19 +127,20 @@ def _lineitem_texts(spark, sf):
 
 
 def q_price_text_parse(spark, sf):
-    li = _lineitem_texts(spark, sf).withColumn("price_text", tv.price_text_a(None))
+    li = _lineitem_texts(spark, sf).withColumn("price_text", tv.price_text_a())
     return li.select("l_orderkey", "l_linenumber", "price_text",
                      parse_price(F.col("price_text"), PORTAL_A).alias("post_price"))
 
 
 def q_price_text_negotiable(spark, sf):
-    li = _lineitem_texts(spark, sf).withColumn("price_text", tv.price_text_b(None))
+    li = _lineitem_texts(spark, sf).withColumn("price_text", tv.price_text_b())
     return li.select("l_orderkey", "l_linenumber", "price_text",
                      parse_price(F.col("price_text"), PORTAL_B).alias("post_price"))
 
 
 def q_rooms_first_char(spark, sf):
-    li = _lineitem_texts(spark, sf).withColumn("price_text", tv.price_text_a(None)).withColumn("spans", tv.spans_array())
+    li = (_lineitem_texts(spark, sf).withColumn("price_text", tv.price_text_a())
+          .withColumn("spans", tv.spans_array()))
     return li.select("l_orderkey", "l_linenumber", F.size("spans").alias("n_spans"),
                      rooms_from_spans(F.col("spans")).alias("post_rooms"),
                      area_from_spans(F.col("spans")).alias("post_sqmetrage"))
@@ -206,7 +207,8 @@ def _document_catalogue(spark, sf) -> DataFrame:
 
 def q_missing_pages(spark, sf):
     expected = _document_catalogue(spark, sf)
-    landed = table(spark, sf, "pages", ["page_id"], spread_out=False).select(F.lit("web").alias("source"), F.col("page_id").alias("page"))
+    landed = table(spark, sf, "pages", ["page_id"], spread_out=False).select(F.lit("web").alias("source"),
+                                                                             F.col("page_id").alias("page"))
     return missing_pages(expected, landed, ("source", "page"))
 
 

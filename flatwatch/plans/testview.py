@@ -111,7 +111,7 @@ def _amount_parts(price: Column):
     return cents, whole, F.concat(grouped, F.lit(","), F.lpad(frac.cast("string"), 2, "0"))
 
 
-def price_text_a(li: DataFrame) -> Column:
+def price_text_a() -> Column:
     """'12 345,67 zł/mc' (NBSP thousands), '… €', the ask-for-price sentinel in both forms, or free text."""
     _, _, amount = _amount_parts(F.col("l_extendedprice"))
     return (F.when(F.col("l_discount") == 0,
@@ -121,7 +121,7 @@ def price_text_a(li: DataFrame) -> Column:
                                 .otherwise(F.lit(" zł/mc")))))
 
 
-def price_text_b(li: DataFrame) -> Column:
+def price_text_b() -> Column:
     """'12 345,67 zł do negocjacji', '… zł', or 'Za darmo'."""
     _, _, amount = _amount_parts(F.col("l_extendedprice"))
     return (F.when(F.col("l_discount") == 0, F.lit("Za darmo"))
@@ -152,7 +152,8 @@ def _span_layouts(wrap):
     """The five span layouts, each a list of (wrapped) texts: [price], [price, area], [price, rooms, area],
     [price, fee, rooms, area], [price, fee, rooms, area, floor]; the count is min(line number, 5)."""
     price = wrap(F.col("price_text"))
-    fee = wrap(F.concat(F.lit("+ czynsz "), F.floor(F.col("l_tax") * 1000).cast("bigint").cast("string"), F.lit(" zł")))
+    fee = wrap(F.concat(F.lit("+ czynsz "), F.floor(F.col("l_tax") * 1000).cast("bigint").cast("string"),
+                        F.lit(" zł")))
     rooms, area = wrap(rooms_text()), wrap(area_text_a())
     floor = wrap(F.concat(F.lit("piętro "), F.col("l_linenumber").cast("string")))
     return [[price], [price, area], [price, rooms, area], [price, fee, rooms, area], [price, fee, rooms, area, floor]]
