@@ -242,6 +242,21 @@ def q_jdbc_round_trip(spark, sf):
                        F.col("N_REGIONKEY").cast("int").alias("n_regionkey"))
 
 
+LISTING_SQL_TYPES = ("post_title VARCHAR(128), post_city VARCHAR(64), type VARCHAR(8), source VARCHAR(8), "
+                     "sqm_bucket VARCHAR(8), urgency VARCHAR(8)")
+
+
+def q_jdbc_city_summary(spark, sf):
+    """The original summary job's path: the listing table over JDBC, the date filter pushed into the SQL."""
+    url = DERBY_URL.format(uuid.uuid4().hex[:12])
+    write_jdbc(_enriched(spark, sf), url, "LISTINGS", DERBY_PROPS, mode="overwrite",
+               column_types=LISTING_SQL_TYPES, num_partitions=4)
+    stored = read_jdbc(spark, url, "LISTINGS", DERBY_PROPS, partition_column="download_date",
+                       lower_bound="1995-01-01", upper_bound="2002-01-01", num_partitions=4)
+    stored = stored.toDF(*[c.lower() for c in stored.columns])
+    return city_summary(stored, SNAPSHOT_DATE)
+
+
 def q_snapshot_rewrite(spark, sf):
     od = table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus"])
     snap = od.select("o_orderkey", "o_custkey", "o_totalprice",
@@ -303,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "page_catalogue": q_page_catalogue,
     "city_dictionary": q_city_dictionary,
     "jdbc_round_trip": q_jdbc_round_trip,
+    "jdbc_city_summary": q_jdbc_city_summary,
     "snapshot_rewrite": q_snapshot_rewrite,
     "snapshot_city_summary": q_snapshot_city_summary,
     "portal_ingest": q_portal_ingest,

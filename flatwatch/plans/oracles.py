@@ -232,6 +232,7 @@ ORACLES: dict[str, str] = {
     "page_catalogue": PAGE_CATALOGUE,
     "city_dictionary": CITY_DICTIONARY,
     "jdbc_round_trip": JDBC_ROUND_TRIP,
+    "jdbc_city_summary": CITY_SUMMARY,
     "snapshot_rewrite": SNAPSHOT_REWRITE,
     "snapshot_city_summary": CITY_SUMMARY,
 }
