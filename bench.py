@@ -36,7 +36,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = [n for n in HEADLINE if n in QUERIES]
     spark = build_session(f"local[{cpus}]", app="flatwatch-bench", shuffle_partitions=max(8, 2 * cpus))
     times = {}
