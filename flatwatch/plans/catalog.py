@@ -51,6 +51,11 @@ def q_city_summary_history(spark, sf):
     return city_summary_history(_enriched(spark, sf))
 
 
+def q_city_summary_history_preagg(spark, sf):
+    """AGG-7 with the line items reduced per order before the joins (see ``history_summary_preaggregated``)."""
+    return tv.history_summary_preaggregated(spark, sf)
+
+
 def q_main_city_summary(spark, sf):
     return main_city_summary(q_city_summary(spark, sf), TEST_MAIN_CITIES)
 
@@ -293,6 +298,7 @@ def q_portal_ingest_summary(spark, sf):
 QUERIES: dict[str, Query] = {
     "city_summary": q_city_summary,
     "city_summary_history": q_city_summary_history,
+    "city_summary_history_preagg": q_city_summary_history_preagg,
     "main_city_summary": q_main_city_summary,
     "enrich_listings": q_enrich_listings,
     "area_bucket_counts": q_area_bucket_counts,

@@ -207,6 +207,7 @@ SNAPSHOT_REWRITE = ("SELECT o_orderkey, o_custkey, o_totalprice, CAST(date_trunc
 ORACLES: dict[str, str] = {
     "city_summary": CITY_SUMMARY,
     "city_summary_history": CITY_SUMMARY_HISTORY,
+    "city_summary_history_preagg": CITY_SUMMARY_HISTORY,
     "main_city_summary": MAIN_CITY_SUMMARY,
     "enrich_listings": ENR,
     "area_bucket_counts": AREA_BUCKET_COUNTS,

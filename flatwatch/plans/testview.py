@@ -221,3 +221,58 @@ def dictionary_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_lang(url: Column) -> Column:
     """Language path segment of a page URL ('en', 'fr', ...): the page category."""
     return F.regexp_extract(url, r"^[a-z]+://[^/]+/([a-z]{2})/", 1)
+
+
+def history_summary_preaggregated(spark: SparkSession, sf_dir: str, keywords=None) -> DataFrame:
+    """``city_summary_history`` over the listing view, with the line items pre-aggregated per order.
+
+    Every summary aggregate decomposes into sum / count / min / max, so line items are first reduced to one
+    partial row per (order, source) -- map-side, before the shuffle to the orders join -- and the partials are
+    combined per (date, city, type) after the joins. The constant price per m² of portal-B rooms depends on
+    the category, known only after the join, and is applied to the partials there.
+    """
+    olx = F.col("l_returnflag") == "R"
+    area = (F.when(olx & (F.col("l_linenumber") == 7), F.lit(None).cast("double"))
+            .when(~olx & (F.col("l_quantity") == 1), F.lit(0.0))
+            .otherwise(F.col("l_quantity") * 2.5))
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                                           "l_returnflag"])
+    lines = li.select("l_orderkey", olx.alias("olx"), F.col("l_extendedprice").alias("price"),
+                      F.when(olx, F.lit(None).cast("int")).otherwise(F.col("l_linenumber")).alias("rooms"),
+                      area.alias("area"))
+    lines = lines.withColumn("ppsqm", F.try_divide(F.col("price"), F.col("area")))
+
+    def partials(c):
+        return [F.sum(c).alias(f"{c}_sum"), F.count(c).alias(f"{c}_cnt"), F.min(c).alias(f"{c}_min"),
+                F.max(c).alias(f"{c}_max")]
+    per_order = lines.groupBy("l_orderkey", "olx").agg(
+        F.count(F.lit(1)).alias("n"), *partials("price"), F.sum("rooms").alias("rooms_sum"),
+        F.count("rooms").alias("rooms_cnt"), *partials("area"), *partials("ppsqm"))
+    od = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+    cu = table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    na = table(spark, sf_dir, "nation", ["n_nationkey", "n_name"], spread_out=False)
+    j = (per_order.join(od, per_order.l_orderkey == od.o_orderkey)
+         .join(cu, od.o_custkey == cu.c_custkey).join(na, cu.c_nationkey == na.n_nationkey))
+    typ = (F.when(F.col("o_orderstatus") == "O", "rent").when(F.col("o_orderstatus") == "F", "sell")
+           .otherwise("room"))
+    j = j.select("*", typ.alias("type"), week_of(F.col("o_orderdate")).alias("download_date"),
+                 F.col("n_name").alias("post_city"))
+    room = F.col("olx") & (F.col("type") == "room")          # portal-B rooms: price per m² is 0 for every post
+    j = j.select("download_date", "post_city", "type", "n", "price_sum", "price_cnt", "price_min", "price_max",
+                 "rooms_sum", "rooms_cnt", "area_sum", "area_cnt", "area_min", "area_max",
+                 F.when(room, F.lit(0.0)).otherwise(F.col("ppsqm_sum")).alias("ppsqm_sum"),
+                 F.when(room, F.col("n")).otherwise(F.col("ppsqm_cnt")).alias("ppsqm_cnt"),
+                 F.when(room, F.lit(0.0)).otherwise(F.col("ppsqm_min")).alias("ppsqm_min"),
+                 F.when(room, F.lit(0.0)).otherwise(F.col("ppsqm_max")).alias("ppsqm_max"))
+
+    def avg(c):
+        return F.round(F.try_divide(F.sum(f"{c}_sum"), F.sum(f"{c}_cnt").cast("double")), 0)
+    out = j.groupBy("download_date", "post_city", "type").agg(
+        avg("price").alias("avg_price"), F.min("price_min").alias("min_price"), F.max("price_max").alias("max_price"),
+        avg("rooms").alias("avg_rooms"), avg("area").alias("avg_sqmetrage"),
+        F.min("area_min").alias("min_sqmetrage"), F.max("area_max").alias("max_sqmetrage"),
+        avg("ppsqm").alias("avg_price_sqm"), F.min("ppsqm_min").alias("min_price_sqm"),
+        F.max("ppsqm_max").alias("max_price_sqm"), F.sum("n").alias("number_of_posts"))
+    return out.select("post_city", "type", "avg_price", "min_price", "max_price", "avg_rooms", "avg_sqmetrage",
+                      "min_sqmetrage", "max_sqmetrage", "avg_price_sqm", "min_price_sqm", "max_price_sqm",
+                      "number_of_posts", "download_date")
