@@ -39,8 +39,9 @@ def build_session(master: str | None = None, app: str = "flatwatch", shuffle_par
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session (the cluster names a shared folder there). Only when it
-    is unset -- local tests -- a fresh temporary folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session (the cluster names a shared folder there). Only where it
+    is unset and everything runs in one local process is a fresh temporary folder created and registered; on a
+    cluster that would be another folder on every machine, so it is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -49,6 +50,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:      # no SparkContext on this client
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="flatwatch-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         try:
