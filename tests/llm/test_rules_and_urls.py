@@ -1,0 +1,164 @@
+import random
+import re
+
+import pytest
+
+from flatwatch.llm import path_templates as pt
+from flatwatch.llm import rule_ledger as rl
+
+
+def plain_measures(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    at = {}
+    for i in range(len(words) - 7):
+        at.setdefault(tuple(words[i:i + 8]), []).append(i)
+    covered = {j for places in at.values() if len(places) > 1 for i in places for j in range(i, i + 8)}
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines), len(lines) - len(set(lines)), len(covered))
+
+
+def plain_failed(m):
+    n, chars, symbols, lines, dup, repeat = m
+    fails = (n < 20, 100 * repeat > 30 * n, dup > 2 and 100 * dup > 30 * lines, 100 * symbols > 10 * n, chars < 2 * n, chars > 40 * n)
+    return sum(1 << k for k, f in enumerate(fails) if f)
+
+
+def corpus():
+    rng = random.Random(2)
+    out = [None, "", " ", "\n\n", "one", "a\x0bb\x0cc\td\re\u00a0f", "é 🙂 東京 " * 10, "#*$%&|<> " * 5, "x " * 50, "y" * 5000]
+    for _ in range(60):
+        words = [rng.choice("abcdefgh") + str(rng.randint(0, 9)) for _ in range(rng.randint(1, 80))]
+        for _ in range(rng.randint(0, 3)):
+            a = rng.randrange(len(words))
+            words += words[a:a + rng.randint(5, 15)]
+        out.append("".join(w + rng.choice([" ", "  ", "\n", " \n"]) for w in words))
+    return out + [out[20], "L1 a\nL1 a\n  \nL1 a\nL1 a \nL1 a\n\nother"]
+
+
+def test_ledger_against_plain_rules(spark):
+    rows = [(i, t, "x", 1) for i, t in enumerate(corpus())] + [(None, "no id", None, None), (3, "\n\n", "x", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_words string, failed int")
+    got = rl.ledger(df, keep=("doc_id", "text")).collect()
+    assert len(got) == len(rows) and rl.ledger(df.limit(0)).count() == 0
+    seen = set()
+    for r in got:
+        m = plain_measures(r.text)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_lines, r.n_dup_lines, r.n_repeat_words) == m, r.text
+        assert r.failed == plain_failed(m)
+        seen.add(r.failed)
+    assert len(seen) > 4
+
+
+def test_very_long_text(spark):
+    rng = random.Random(5)
+    text = " ".join(str(rng.randint(0, 300)) for _ in range(60_000)) + " end " * 20
+    r = rl.ledger(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (r.n_words, r.word_chars, r.n_symbols, r.n_lines, r.n_dup_lines, r.n_repeat_words) == plain_measures(text)
+
+
+def test_policies_and_ablations(spark):
+    bits = [0, 0, 1, 2, 3, 4, 8, 12, 5, 2]
+    df = spark.createDataFrame([(b,) for b in bits], "failed long")
+    kept = [r.k for r in df.select(rl.verdict(rl.F.col("failed"), "v1").alias("k")).collect()]
+    assert kept == [b & 15 == 0 for b in bits]
+    got = {(r.version, r.rule): r for r in rl.ablations(df).collect()}
+    assert len(got) == sum(map(len, rl.POLICIES.values()))
+    names = [r.name for r in rl.rules()]
+    for (version, rule), r in got.items():
+        m, own = rl.mask(version), 1 << names.index(rule)
+        assert (r.n_docs, r.n_rejected, r.n_failed, r.n_only) == (
+            len(bits), sum(b & m != 0 for b in bits), sum(b & own != 0 for b in bits), sum(b & m == own for b in bits))
+        assert r.ever_failed == names[:4] and r.always_failed == []
+    assert rl.ablations(df.limit(0)).count() == 0
+    assert rl.mask(("symbols", "symbols")) == 8
+
+
+URLS = [
+    None, "", "no scheme", "http://", "https://Ex.NET", "http://a.example.NET/en/5?x#y", "http://example.net/en", "http://net/x",
+    "https://EXAMPLE.com/de/1", "https://www.example.com/DE/1", "https://a.org/fr/", "https://notorg/fr/", "ftp://x.org?fr/", "http://x.org#/fr/",
+    "a://b://c/d", "https://example.net:80/en/", "//example.net/en/", "http://x.network/", "http://É.NET/é", "http://x.com/a//b/",
+]
+
+
+def plain_judge(url):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest).group()
+        path = re.match(r"[^?#]*", rest[len(host):]).group()
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    best = None
+    for act, h, p in pt.RULES:
+        if (host == h or host.endswith("." + h)) and path.startswith(p) and (best is None or len(h + p) > len(best[0])):
+            best = (h + p, act)
+    return host, path, best
+
+
+def test_hosts_paths_and_rules(spark):
+    df = spark.createDataFrame([(i, u, None, "h") for i, u in enumerate(URLS)], "page_id int, url string, good boolean, host string")
+    got = {r.page_id: r for r in pt.judge(df).collect()}
+    assert len(got) == len(URLS) and pt.judge(df.limit(0)).count() == 0
+    for i, u in enumerate(URLS):
+        host, path, best = plain_judge(u)
+        assert (got[i].host, got[i].path) == (host, path)
+        assert (got[i].rule, got[i].verdict) == (best if best else (None, "allow"))
+
+
+def plain_templates(rows, min_count, min_share, z, max_depth):
+    """rows: (host, path, good). The template of each, by plain dictionaries."""
+    parts = [[s for s in p.split("/") if s] for _, p, _ in rows]
+    template = ["" for _ in rows]
+    for depth in range(max_depth):
+        nodes, values = {}, {}
+        for (h, _, g), s, t in zip(rows, parts, template):
+            if len(s) > depth:
+                for key, into in (((h, t), nodes), ((h, t, s[depth]), values)):
+                    n = into.setdefault(key, [0, 0, 0])
+                    n[0] += 1
+                    n[1] += g is not None
+                    n[2] += bool(g)
+        new = list(template)
+        for i, ((h, _, _), s, t) in enumerate(zip(rows, parts, template)):
+            if len(s) <= depth:
+                continue
+            n, m, g = values[h, t, s[depth]]
+            an, am, ag = nodes[h, t]
+            p = ag / am if am else 0
+            if n < min_count or n < min_share * an:
+                b = "*"
+            elif not am or abs(g - m * p) <= z * (m * p * (1 - p)) ** 0.5:
+                b = "+"
+            else:
+                b = s[depth]
+            new[i] = t + "/" + b + ("/**" if depth + 1 == max_depth and len(s) > max_depth else "")
+        template = new
+    return [t or "/" for t in template]
+
+
+@pytest.mark.parametrize("depth", [16, 2])
+def test_templates_and_purity(spark, depth):
+    rng = random.Random(9)
+    rows = []
+    for i in range(900):
+        host = rng.choice(["a.com", "a.com", "b.com"])
+        section = rng.choice(["news", "spam", "blog", "wiki", f"u{i}"])
+        path = f"/{section}/{rng.choice(['x', 'y', str(i)])}" + ("/deep/" + str(i % 3) if i % 5 == 0 else "")
+        bad = section == "spam" or rng.random() < 0.1
+        rows.append((host, path, None if rng.random() < 0.5 else not bad))
+    df = spark.createDataFrame([(i, f"http://{h}{p}?q", g) for i, (h, p, g) in enumerate(rows)] + [(5000, "http://c.com", None)],
+                               "page_id int, url string, good boolean")
+    options = {"min_count": 10, "min_share": 0.02, "z": 2.0, "max_depth": depth}
+    want = plain_templates(rows, **options)
+    got = {r.page_id: r for r in pt.judge(df, rules=(), **options).collect()}
+    assert [got[i].template for i in range(len(rows))] == want
+    key = list(zip((r[0] for r in rows), want))
+    known = [(k, g) for k, (_, _, g) in zip(key, rows) if g is not None]
+    base = (sum(g for _, g in known) + 1) / (len(known) + 1)
+    smooth = lambda part, prior: (sum(part) + 10 * prior) / (len(part) + 10)
+    for i, (host, t) in enumerate(key):
+        top = smooth([g for (h, _), g in known if h == host], base)
+        p = smooth([g for k, g in known if k == (host, t)], top)
+        assert got[i].purity == pytest.approx(p) and got[i].verdict == ("block" if p < 0.5 else "allow")
+    assert {r.verdict for r in got.values()} == {"allow", "block"}
+    assert got[5000].template == "/" and got[5000].verdict == "allow"
