@@ -1,0 +1,202 @@
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from flatwatch.llm import kneser_ney_tox as kn
+from flatwatch.llm import naive_bayes_lang as nb
+from flatwatch.llm import neighbour_votes as nv
+
+SF = "/root/testdata/sf0.01"
+EDGES = [None, "", " \n", "a", "ab", "123 !!", "É", "x" * 400_000, "word " * 100_000]
+
+
+def auc(y, s):
+    y, s = np.asarray(y), np.asarray(s)
+    return np.mean([(a > b) + 0.5 * (a == b) for a in s[y == 1] for b in s[y == 0]])
+
+
+def held_out_rows(spark, query, label, parts, rest, sf=SF):
+    got = {r.doc_id: r for r in query(spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert len(got) == docs.count()
+    for r in got.values():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % parts == rest) and 0 <= r.score <= 1
+        assert r.predicted == int(r.score >= 0.3)
+    labels = {r.doc_id: r[label] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    return [(labels[i], r.score, r.predicted) for i, r in got.items() if r.held_out and i in labels]
+
+
+def test_quality_held_out(spark):
+    rows = held_out_rows(spark, nv.op2_neighbour_votes, "quality", 5, 0)
+    assert auc([r[0] for r in rows], [r[1] for r in rows]) > 0.97
+    assert np.mean([r[0] == r[2] for r in rows]) > 0.95
+
+
+def test_toxicity_held_out(spark):
+    rows = held_out_rows(spark, kn.op7_kneser_ney_tox, "toxic", 4, 2, "/root/testdata/sf0.1")
+    assert auc([r[0] for r in rows], [r[1] for r in rows]) > 0.92
+    assert np.mean([r[0] == r[2] for r in rows]) > 0.94
+
+
+def test_language_held_out(spark):
+    got = nb.op9_naive_bayes_lang(spark, SF).collect()
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    held = [r for r in got if r.held_out]
+    assert len(got) == len(lang) and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+    assert np.mean([lang[r.doc_id] == r.lang_pred for r in held]) > 0.97
+
+
+def test_votes_are_exact(spark):
+    rng = random.Random(0)
+    texts = [" ".join(rng.choice(["alpha", "beta", "GAMMA!!", "d%", "same same"]) for _ in range(rng.randint(1, 60))) for _ in range(80)]
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(100 + i, t, None) for i, t in enumerate(EDGES)] + [(None, "no id", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(3, None, 0), (None, 1, 0), (0, 1, 1), (5, 0, 0)],
+                                   "doc_id long, quality int, toxic int")
+    v = nv.train(docs, labels, dims=6, k=5)
+    assert len(v.labels) == 40
+    got = nv.score(docs, v).collect()
+    assert len(got) == len(rows)
+    unit = lambda x: x / (np.sqrt((x * x).sum()) or 1)
+    for r in got:
+        x = unit(nv.weighted(nv.terms((r.text or "").encode())[None, :], v.idf)[0] @ v.axes)
+        cos = np.maximum(v.vectors @ x, 0)
+        near = np.argsort(-cos)[:5]
+        if cos[near[-1]] - np.sort(cos)[-6] > 1e-6 and cos[near].sum() > 1e-3:
+            assert r.score == pytest.approx((cos[near] * v.labels[near]).sum() / cos[near].sum(), abs=1e-3)
+    assert {r.score for r in nv.score(docs, nv.train(docs, labels.limit(0))).collect()} == {0.5}
+    assert nv.score(docs.limit(0), v).count() == 0
+
+
+def test_axes_are_singular_vectors():
+    x = np.random.default_rng(1).standard_normal((60, 40)).astype(np.float32) * np.linspace(5, 0.1, 40, dtype=np.float32) ** 2
+    mine = nv.leading_axes(x, 4, 30)
+    want = np.linalg.svd(x)[2][:4].T
+    assert np.allclose(np.abs((mine * want).sum(axis=0)), 1, atol=1e-3)
+
+
+def test_terms_in_blocks(monkeypatch):
+    raw = ("Some Words 12, " * 300).encode()
+    whole = nv.terms(raw)
+    monkeypatch.setattr(nv, "BLOCK", 100)
+    assert np.allclose(nv.terms(raw), whole)
+    assert nv.terms(b"a a b").tolist()[-2:] == [np.float32(1 / 3), 0]
+
+
+def plain_bayes(rows, bits, alpha=0.5):
+    def grams(text):
+        b = [32] + [c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in text.encode()] + [32]
+        for n in (1, 2, 3, 4):
+            for i in range(len(b) - n + 1):
+                g = n
+                for c in b[i:i + n]:
+                    g = (g * 0x01000193 ^ c) % 2**32
+                yield g * 2654435761 % 2**32 >> 32 - bits
+    counts, texts = defaultdict(Counter), Counter()
+    for text, lang in rows:
+        if lang is not None:
+            counts[lang].update(grams(text or ""))
+            texts[lang] += 1
+    langs = sorted(texts)
+
+    def predict(text):
+        s = [math.log(texts[k] / sum(texts.values())) + sum(
+            math.log((counts[k][g] + alpha) / (sum(counts[k].values()) + alpha * 2**bits)) for g in grams(text)) for k in langs]
+        p = [math.exp(x - max(s)) for x in s]
+        return langs[int(np.argmax(s))], max(p) / sum(p)
+    return predict
+
+
+def test_bayes_is_plain_bayes(spark, monkeypatch):
+    rng = random.Random(4)
+    words = {"aa": ["the", "of", "and", "én"], "bb": ["der", "und", "öl", "of"], "cc": ["le", "et", "日本", "Б"]}
+    rows = [(" ".join(rng.choice(words[k]) for _ in range(rng.randint(1, 6))), k) for k in words for _ in range(15)]
+    rows += [(None, "aa"), ("", "bb"), ("le of", None), ("a" * 50, None), ("12 3!", "cc"), ("et", "cc"), ("et", "cc")]
+    df = spark.createDataFrame([(i, t, k, "z") for i, (t, k) in enumerate(rows)], "doc_id long, text string, lang string, lang_pred string")
+    monkeypatch.setattr(nb, "HELD", 2)
+    model = nb.train(df, bits=12)
+    plain = plain_bayes(rows, 12)
+    for r in nb.predict(df, model).collect():
+        if r.text is None or not any(map(str.isalpha, r.text)):
+            assert (r.lang_pred, r.score) == ("und", 0)
+        else:
+            assert r.lang_pred == plain(r.text)[0] and r.score == pytest.approx(plain(r.text)[1], abs=1e-3)
+    none = nb.train(df.limit(0))
+    assert {r.lang_pred for r in nb.predict(df, none).collect()} == {"und"} and nb.predict(df.limit(0), model).count() == 0
+    edges = spark.createDataFrame([(i, t) for i, t in enumerate(EDGES)], "doc_id long, text string")
+    assert nb.predict(edges, model).count() == len(EDGES)
+
+
+def plain_ratios(texts, labelled, d=kn.DISCOUNT):
+    def grams(text):
+        low = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in (text or "").encode())
+        squeezed = b"".join(low[i:i + 1] for i in range(len(low)) if low[i] != 32 or (i > 0 and low[i - 1] != 32))
+        padded = b"    " + squeezed + b" "
+        return [padded[i:i + 5] for i in range(len(padded) - 4)] if squeezed else []
+    every = {g for t in texts for g in grams(t)}
+    n = {c: Counter(g for t, k in labelled if k == c for g in grams(t)) for c in (0, 1)}
+    kinds = Counter(g[2:] for g in every)
+    above, types = Counter(), Counter()
+    for low, k in kinds.items():
+        above[low[:2]] += k
+        types[low[:2]] += 1
+    shared = lambda low: (max(kinds[low] - d, 0) + d * types[low[:2]] / 256) / above[low[:2]]
+    total = {c: Counter() for c in n}
+    after = {c: Counter() for c in n}
+    for c in n:
+        for g, k in n[c].items():
+            total[c][g[:4]] += k
+            after[c][g[:4]] += 1
+
+    def ratio(g):
+        h = g[:4]
+        if not total[0][h] and not total[1][h]:
+            return 0.0
+        back = [d * after[c][h] / total[c][h] if total[c][h] else 1.0 for c in (0, 1)]
+        if not n[0][g] and not n[1][g]:
+            return math.log(back[1] / back[0])
+        p = [(max(n[c][g] - d, 0) / total[c][h] if total[c][h] else 0) + back[c] * shared(g[2:]) for c in (0, 1)]
+        return math.log(p[1] / p[0])
+    return grams, ratio
+
+
+def test_ratios_are_kneser_ney(spark, monkeypatch):
+    monkeypatch.setattr(kn, "HELD_GRAMS", 50)
+    rng = random.Random(6)
+    word = lambda k: rng.choice(["loser", "trash"]) if k and rng.random() < 0.4 else rng.choice(["The", "cat", "sat", "öl", "mat,", "3"])
+    labels = {i: i % 2 for i in range(60)}
+    rows = [(i, " ".join(word(labels.get(i, 0)) for _ in range(rng.randint(1, 12)))) for i in range(90)] + list(enumerate(EDGES, 200))
+    docs = spark.createDataFrame([(i, t, "q") for i, t in rows] + [(None, "none", "q")], "doc_id long, text string, score string")
+    table = spark.createDataFrame([(i, k) for i, k in labels.items()] + [(1, 0), (None, 1), (70, None)], "doc_id long, toxic int")
+    model = kn.train(docs, table)
+    curve = {r.doc_id for r in docs.filter(kn.for_curve()).collect()}
+    texts = dict(rows)
+    grams, ratio = plain_ratios(list(texts.values()) + ["none"], [(texts[i], k) for i, k in labels.items() if i not in curve])
+    for text in list(texts.values())[:100]:
+        if len(text or "") < 2000:
+            words, own = [], 0.0
+            for g in grams(text):
+                own += ratio(g)
+                if g[-1] == 32:
+                    words, own = [*words, own], 0.0
+            want = [sum(sorted(words, reverse=True)[:k]) / k for k in (1, 3, 6)]
+            want.append(np.mean([min(max(x, -3), 8) for x in words]) if words else 0.0)
+            assert kn.measures((text or "").encode(), model.ratio) == pytest.approx(want, abs=1e-4)
+    got = kn.score(docs, model).collect()
+    assert len(got) == len(rows) + 1 and all(0 <= r.score <= 1 for r in got)
+    assert kn.score(docs.limit(0), model).count() == 0
+    none = kn.train(docs, table.limit(0))
+    assert {r.score for r in kn.score(docs, none).collect()} == {0.5}
+    assert not kn.train(docs.limit(0), table).curve[1:].any()
+
+
+def test_curve():
+    x = np.array([0, 0.1, 0.2, 5, 6, 7])[:, None] * np.ones(4)
+    y = np.array([0, 0, 0, 1, 1, 1])
+    w = kn.fit_curve(x, y)
+    p = 1 / (1 + np.exp(-(w[0] + (x * kn.SCALE) @ w[1:])))
+    assert p[:3].max() < 0.3 < p[3:].min() and not kn.fit_curve(x, y * 0)[1:].any()
