@@ -78,16 +78,17 @@ def runs(raw: bytes, run: int, min_words: int) -> tuple[np.ndarray, np.ndarray,
     return hashes.view(np.int64), at, upto - at
 
 
-def strip(raw: bytes, at: list[int], length: list[int]) -> tuple[bytes, list[tuple[int, int]], int, int]:
-    """The text without the sentences of the given runs, the removed byte ranges, and the sentence counts (all, removed).
+def strip(raw: bytes, repeats: set[tuple[int, int]], run: int, min_words: int) -> tuple[bytes, list[tuple[int, int]], int, int]:
+    """The text without the sentences of the runs in ``repeats`` (first sentence, hash), the removed byte ranges, and the
+    sentence counts (all, removed).
 
     A sentence takes the white space after it along.
     """
     starts, _, first = sentences(raw)
-    change = np.zeros(len(first) + 1, np.int64)
-    np.add.at(change, np.asarray(at, np.int64), 1)
-    np.add.at(change, np.asarray(at, np.int64) + np.asarray(length, np.int64), -1)
-    gone = np.cumsum(change)[:-1] > 0
+    gone = np.zeros(len(first), bool)
+    for h, at, length in zip(*(x.tolist() for x in runs(raw, run, min_words))) if repeats else ():
+        if (at, h) in repeats:
+            gone[at:at + length] = True
     cut = np.append(starts[first], len(raw))
     edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
     ranges = [(int(cut[s]), int(cut[e])) for s, e in zip(edge[0::2], edge[1::2])]
@@ -100,7 +101,7 @@ def strip(raw: bytes, at: list[int], length: list[int]) -> tuple[bytes, list[tup
 
 
 def repeated_runs(docs: DataFrame, doc_id: str, text: str, run: int, min_words: int) -> DataFrame:
-    """(id, row, at, length): the runs of each row that occur earlier, in order of (doc_id, row hash, position).
+    """(id, row, at, hash): the runs of each document that occur earlier, in order of (doc_id, row, position).
 
     One shuffle brings (hash, least place) together, aggregated on the map side; a second one joins back the places
     of the hashes that occur more than once. Copies of a run are never listed against each other.
@@ -113,20 +114,20 @@ def repeated_runs(docs: DataFrame, doc_id: str, text: str, run: int, min_words:
         cat = lambda i: np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64)
         return pa.RecordBatch.from_arrays(
             [pa.array(cat(0)), batch.column("id").take(pa.array(row)), batch.column("row").take(pa.array(row)),
-             pa.array(cat(1).astype(np.int32)), pa.array(cat(2).astype(np.int32))], names=["hash", "id", "row", "at", "length"])
+             pa.array(cat(1).astype(np.int32))], names=["hash", "id", "row", "at"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     source = docs.select(F.col(doc_id).alias("id"), version(doc_id, text).alias("row"), F.col(text).alias("text"))
-    places = materialize(map_slices(source, spans, f"hash long, id {kind}, row int, at int, length int"), "sentence-runs")
+    places = materialize(map_slices(source, spans, f"hash long, id {kind}, row int, at int"), "sentence-runs")
     place = F.struct("id", "row", "at")
     first = (places.groupBy("hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
              .filter(F.col("n") > 1).select("hash", "first"))
-    return places.join(first, "hash").filter(~place.eqNullSafe(F.col("first"))).select("id", "row", "at", "length")
+    return places.join(first, "hash").filter(~place.eqNullSafe(F.col("first"))).select("id", "row", "at", "hash")
 
 
 def version(doc_id: str, text: str) -> Column:
-    """Tells apart texts under one id."""
-    return row_key(doc_id, text).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    """Tells apart texts without an id; 0 for the others."""
+    return F.when(F.col(doc_id).isNull(), row_key(text).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).otherwise(F.lit(0))
 
 
 def dedup_sentences(docs: DataFrame, run: int = 3, min_words: int = 15, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -134,11 +135,12 @@ def dedup_sentences(docs: DataFrame, run: int = 3, min_words: int = 15, doc_id:
     UTF-8), ``n_sentences`` and ``n_removed``; equally named columns of ``docs`` are replaced.
 
     Null text stays null; a text with fewer than ``run`` sentences or ``min_words`` words has no run and stays. Rows
-    equal in id and text are one document: their runs don't count as repeats of each other and they are cut alike. A
-    null id sorts before all others. An empty table gives no rows.
+    that share an id are versions of one document: a run at the same place of two versions is one occurrence, so equal
+    rows are cut alike. Texts without an id sort before all others, each equal text being one. An empty table gives no
+    rows.
     """
-    found = (repeated_runs(docs, doc_id, text, run, min_words).distinct()
-             .groupBy("id", "row").agg(F.collect_list(F.struct("at", "length")).alias("__runs"))   # at most a text's sentences
+    found = (repeated_runs(docs, doc_id, text, run, min_words)
+             .groupBy("id", "row").agg(F.collect_set(F.struct("at", "hash")).alias("__runs"))   # at most a text's sentences
              .select(F.col("id").alias("__id"), F.col("row").alias("__row"), "__runs"))
     own = ("removed_spans", "n_sentences", "n_removed", "__runs", "__row", "__id")
     keep = [c for c in docs.columns if c not in own]
@@ -149,8 +151,7 @@ def dedup_sentences(docs: DataFrame, run: int = 3, min_words: int = 15, doc_id:
         old = batch.column(text)
         new, ranges, total, gone = [], [], [], []
         for raw, given, known in zip(utf8(old), batch.column("__runs").to_pylist(), old.is_valid().to_pylist()):
-            given = given or []
-            t, r, n, g = strip(raw, [x["at"] for x in given], [x["length"] for x in given])
+            t, r, n, g = strip(raw, {(x["at"], x["hash"]) for x in given or ()}, run, min_words)
             new.append(t.decode() if known else None)
             ranges.append([{"start": s, "end": e} for s, e in r])
             total.append(n)
