@@ -26,6 +26,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 ENDERS = np.zeros(256, bool)
 ENDERS[list(b".!?;:")] = True
+NONE = np.empty(0, np.int64)
 #: Most words of a sentence.
 WINDOW = 10
 
@@ -78,17 +79,19 @@ def runs(raw: bytes, run: int, min_words: int) -> tuple[np.ndarray, np.ndarray,
     return hashes.view(np.int64), at, upto - at
 
 
-def strip(raw: bytes, repeats: set[tuple[int, int]], run: int, min_words: int) -> tuple[bytes, list[tuple[int, int]], int, int]:
-    """The text without the sentences of the runs in ``repeats`` (first sentence, hash), the removed byte ranges, and the
-    sentence counts (all, removed).
+def strip(raw: bytes, repeats: np.ndarray, run: int, min_words: int) -> tuple[bytes, list[tuple[int, int]], int, int]:
+    """The text without the sentences of runs that occur earlier in it or whose hash is in ``repeats``, the removed byte
+    ranges, and the sentence counts (all, removed).
 
     A sentence takes the white space after it along.
     """
     starts, _, first = sentences(raw)
     gone = np.zeros(len(first), bool)
-    for h, at, length in zip(*(x.tolist() for x in runs(raw, run, min_words))) if repeats else ():
-        if (at, h) in repeats:
-            gone[at:at + length] = True
+    hashes, at, length = runs(raw, run, min_words)
+    again = np.ones(len(hashes), bool)
+    again[np.unique(hashes, return_index=True)[1]] = False
+    for i in np.flatnonzero(again | np.isin(hashes, repeats)).tolist():
+        gone[at[i]:at[i] + length[i]] = True
     cut = np.append(starts[first], len(raw))
     edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
     ranges = [(int(cut[s]), int(cut[e])) for s, e in zip(edge[0::2], edge[1::2])]
@@ -101,28 +104,27 @@ def strip(raw: bytes, repeats: set[tuple[int, int]], run: int, min_words: int) -
 
 
 def repeated_runs(docs: DataFrame, doc_id: str, text: str, run: int, min_words: int) -> DataFrame:
-    """(id, row, at, hash): the runs of each document that occur earlier, in order of (doc_id, row, position).
+    """(id, row, hash): the runs of each document that an earlier document, in order of (doc_id, row), holds.
 
-    One shuffle brings (hash, least place) together, aggregated on the map side; a second one joins back the places
-    of the hashes that occur more than once. Copies of a run are never listed against each other.
+    A document gives each of its runs once, so a text that repeats itself adds nothing to a hash. One shuffle brings
+    (hash, least document) together, aggregated on the map side; a second one joins the hashes of more than one document
+    back, and AQE splits those that very many hold. Copies of a run are never listed against each other.
     """
 
     def spans(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [runs(x, run, min_words) for x in utf8(batch.column("text"))]
-        counts = [len(f[0]) for f in found]
-        row = np.repeat(np.arange(len(found)), counts)
-        cat = lambda i: np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(cat(0)), batch.column("id").take(pa.array(row)), batch.column("row").take(pa.array(row)),
-             pa.array(cat(1).astype(np.int32))], names=["hash", "id", "row", "at"])
+        found = [np.unique(runs(x, run, min_words)[0]) for x in utf8(batch.column("text"))]
+        row = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+        hashes = np.concatenate(found) if found else np.empty(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(hashes), batch.column("id").take(row), batch.column("row").take(row)],
+                                          names=["hash", "id", "row"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     source = docs.select(F.col(doc_id).alias("id"), version(doc_id, text).alias("row"), F.col(text).alias("text"))
-    places = materialize(map_slices(source, spans, f"hash long, id {kind}, row int, at int"), "sentence-runs")
-    place = F.struct("id", "row", "at")
-    first = (places.groupBy("hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-             .filter(F.col("n") > 1).select("hash", "first"))
-    return places.join(first, "hash").filter(~place.eqNullSafe(F.col("first"))).select("id", "row", "at", "hash")
+    places = materialize(map_slices(source, spans, f"hash long, id {kind}, row int"), "sentence-runs")
+    place = F.struct("id", "row")
+    first = materialize(places.groupBy("hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+                        .filter(F.col("n") > 1).select("hash", "first"), "sentence-firsts")
+    return places.join(first, "hash").filter(~place.eqNullSafe(F.col("first"))).select("id", "row", "hash")
 
 
 def version(doc_id: str, text: str) -> Column:
@@ -135,12 +137,11 @@ def dedup_sentences(docs: DataFrame, run: int = 3, min_words: int = 15, doc_id:
     UTF-8), ``n_sentences`` and ``n_removed``; equally named columns of ``docs`` are replaced.
 
     Null text stays null; a text with fewer than ``run`` sentences or ``min_words`` words has no run and stays. Rows
-    that share an id are versions of one document: a run at the same place of two versions is one occurrence, so equal
-    rows are cut alike. Texts without an id sort before all others, each equal text being one. An empty table gives no
-    rows.
+    that share an id are versions of one document: a run that two of them hold is one occurrence, so equal rows are cut
+    alike. Texts without an id sort before all others, equal ones being one document. An empty table gives no rows.
     """
     found = (repeated_runs(docs, doc_id, text, run, min_words)
-             .groupBy("id", "row").agg(F.collect_set(F.struct("at", "hash")).alias("__runs"))   # at most a text's sentences
+             .groupBy("id", "row").agg(F.collect_set("hash").alias("__runs"))   # at most a text's sentences
              .select(F.col("id").alias("__id"), F.col("row").alias("__row"), "__runs"))
     own = ("removed_spans", "n_sentences", "n_removed", "__runs", "__row", "__id")
     keep = [c for c in docs.columns if c not in own]
@@ -150,8 +151,8 @@ def dedup_sentences(docs: DataFrame, run: int = 3, min_words: int = 15, doc_id:
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         old = batch.column(text)
         new, ranges, total, gone = [], [], [], []
-        for raw, given, known in zip(utf8(old), batch.column("__runs").to_pylist(), old.is_valid().to_pylist()):
-            t, r, n, g = strip(raw, {(x["at"], x["hash"]) for x in given or ()}, run, min_words)
+        for raw, given, known in zip(utf8(old), batch.column("__runs"), old.is_valid().to_pylist()):
+            t, r, n, g = strip(raw, given.values.to_numpy() if given.is_valid else NONE, run, min_words)
             new.append(t.decode() if known else None)
             ranges.append([{"start": s, "end": e} for s, e in r])
             total.append(n)
