@@ -166,10 +166,21 @@ def q_area_round_half_even(spark, sf):
 def q_city_dictionary_lookup(spark, sf):
     places = tv.customer_places(spark, sf).withColumn("location_text", tv.location_text_a())
     dictionary = grid_to_dictionary(tv.dictionary_grid(spark, sf))
-    out = with_city(places.select("c_custkey", "location_text"), "location_text", dictionary, ("c_custkey",))
+    out = with_city(places.select("c_custkey", "location_text"), "location_text", dictionary)
     return out.select("c_custkey", "location_text", "post_city")
 
 
+def q_city_dictionary_lookup_large(spark, sf):
+    """The lookup with a dictionary that grows with the input (an entry per order) and posts whose keys are NULL or repeat."""
+    od = table(spark, sf, "orders", ["o_orderkey", "o_custkey"])
+    dictionary = od.select(F.concat(F.lit("C"), F.col("o_custkey") % 5000, F.lit("-"), F.col("o_orderkey")).alias("city"))
+    posts = od.select(
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey") % 10).alias("post_key"),
+        F.concat(F.lit("ul. X, C"), F.col("o_custkey") % 5000, F.lit("-"), F.col("o_orderkey") - F.col("o_orderkey") % 3,
+                 F.lit(" , C"), F.col("o_custkey") % 5000, F.lit("-"), F.col("o_orderkey")).alias("location_text"))
+    return with_city(posts, "location_text", dictionary)
+
+
 def q_city_positional(spark, sf):
     places = tv.customer_places(spark, sf).withColumn("location_text", tv.location_text_b())
     return places.select("c_custkey", "location_text", city_positional(F.col("location_text")).alias("post_city"))
@@ -283,6 +294,27 @@ def q_snapshot_city_summary(spark, sf):
     return city_summary(read_snapshot(spark, path, SNAPSHOT_DATE), SNAPSHOT_DATE)
 
 
+def _rerun(spark, first, again, date, cols):
+    """What is stored after a run of ``first`` and a second one of ``again`` for the same date."""
+    path = scratch_path(spark, "summary")
+    write_snapshot(first, path, ("download_date",), snapshot_date=date)
+    write_snapshot(again, path, ("download_date",), snapshot_date=date)
+    return read_snapshot(spark, path, date).select(*cols)
+
+
+def q_stored_city_summary(spark, sf):
+    """The summary stored twice for one date, the first time with groups that the second run doesn't have."""
+    right = q_city_summary(spark, sf)
+    stale = right.withColumn("post_city", F.concat(F.lit("stale "), F.coalesce("post_city", F.lit(""))))
+    return _rerun(spark, right.unionByName(stale), right, SNAPSHOT_DATE, right.columns)
+
+
+def q_stored_main_city_summary(spark, sf):
+    """The main cities' summary stored over that of all cities of the same date."""
+    right = q_main_city_summary(spark, sf)
+    return _rerun(spark, q_city_summary(spark, sf), right, SNAPSHOT_DATE, right.columns)
+
+
 # ---- the whole job on rendered portal pages (EXT-1..11, CLN-*, PRJ-*, SET-1, AGG-6) ------------------------
 
 def q_portal_ingest(spark, sf):
@@ -312,6 +344,7 @@ QUERIES: dict[str, Query] = {
     "price_text_parse": q_price_text_parse,
     "price_text_negotiable": q_price_text_negotiable,
     "city_dictionary_lookup": q_city_dictionary_lookup,
+    "city_dictionary_lookup_large": q_city_dictionary_lookup_large,
     "city_positional": q_city_positional,
     "rooms_first_char": q_rooms_first_char,
     "area_prefix": q_area_prefix,
@@ -327,6 +360,8 @@ QUERIES: dict[str, Query] = {
     "jdbc_city_summary": q_jdbc_city_summary,
     "snapshot_rewrite": q_snapshot_rewrite,
     "snapshot_city_summary": q_snapshot_city_summary,
+    "stored_city_summary": q_stored_city_summary,
+    "stored_main_city_summary": q_stored_main_city_summary,
     "portal_ingest": q_portal_ingest,
     "portal_ingest_summary": q_portal_ingest_summary,
 }

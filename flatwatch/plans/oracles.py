@@ -204,6 +204,16 @@ JDBC_ROUND_TRIP = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
 SNAPSHOT_REWRITE = ("SELECT o_orderkey, o_custkey, o_totalprice, CAST(date_trunc('month', o_orderdate) AS DATE) "
                     "AS download_date, 'orders' AS source, " + TYPE_OF_STATUS + " AS type FROM orders")
 
+CITY_DICTIONARY_LOOKUP_LARGE = """
+WITH d AS (SELECT DISTINCT concat('C', o_custkey % 5000, '-', o_orderkey) AS city FROM orders),
+p AS (SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey % 10 END AS post_key,
+             concat('C', o_custkey % 5000, '-', o_orderkey - o_orderkey % 3) AS c1, concat('C', o_custkey % 5000, '-', o_orderkey) AS c2
+      FROM orders)
+SELECT post_key, concat('ul. X, ', c1, ' , ', c2) AS location_text,
+       CASE WHEN c1 IN (SELECT city FROM d) THEN c1 WHEN c2 IN (SELECT city FROM d) THEN c2 END AS post_city
+FROM p
+"""
+
 ORACLES: dict[str, str] = {
     "city_summary": CITY_SUMMARY,
     "city_summary_history": CITY_SUMMARY_HISTORY,
@@ -221,6 +231,7 @@ ORACLES: dict[str, str] = {
     "price_text_parse": PRICE_TEXT_PARSE,
     "price_text_negotiable": PRICE_TEXT_NEGOTIABLE,
     "city_dictionary_lookup": CITY_DICTIONARY_LOOKUP,
+    "city_dictionary_lookup_large": CITY_DICTIONARY_LOOKUP_LARGE,
     "city_positional": CITY_POSITIONAL,
     "rooms_first_char": ROOMS_FIRST_CHAR,
     "area_prefix": AREA_PREFIX,
@@ -236,6 +247,8 @@ ORACLES: dict[str, str] = {
     "jdbc_city_summary": CITY_SUMMARY,
     "snapshot_rewrite": SNAPSHOT_REWRITE,
     "snapshot_city_summary": CITY_SUMMARY,
+    "stored_city_summary": CITY_SUMMARY,
+    "stored_main_city_summary": MAIN_CITY_SUMMARY,
 }
 
 

@@ -1,4 +1,4 @@
-"""Session helpers: building a session for tests/bench, shared scratch space, size-checked broadcast."""
+"""Session helpers: building a session for tests/bench, shared scratch space."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def build_session(master: str | None = None, app: str = "flatwatch", shuffle_partitions: int | None = None,
@@ -24,7 +23,6 @@ def build_session(master: str | None = None, app: str = "flatwatch", shuffle_par
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": "16g",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -91,20 +89,6 @@ def release(spark: SparkSession, paths) -> None:
         jp.getFileSystem(conf).delete(jp, True)
 
 
-def row_count_at_most(df: DataFrame, limit: int) -> int | None:
-    """Number of rows if it is at most ``limit``, else None. Reads at most ``limit + 1`` rows."""
-    n = df.limit(limit + 1).count()
-    return n if n <= limit else None
-
-
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the row count is proven to be at most ``max_rows``.
-
-    Beyond the bound the frame is returned unchanged, so the planner falls back to a shuffle join.
-    """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) is not None else df
-
-
 def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
     """Re-split a scan that yields fewer partitions than the cluster has cores (e.g. one large file).
 

@@ -22,10 +22,6 @@ from ..schema import PAGE
 
 LANDED_PAGE = T.StructType(PAGE.fields + [T.StructField("download_date", T.DateType(), True)])
 
-# A micro-batch touches a handful of dates; more than this in one batch means a misconfigured landing folder.
-MAX_DATES_PER_BATCH = 366
-
-
 def landed_pages(spark: SparkSession, landing_dir: str) -> DataFrame:
     """All pages landed so far (batch read, partition-pruned by a later date filter)."""
     return spark.read.schema(LANDED_PAGE).parquet(landing_dir)
@@ -43,10 +39,10 @@ def start(spark: SparkSession, landing_dir: str, snapshot_path: str, summary_pat
     arrivals = reader.parquet(landing_dir).select("download_date")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        dates = [r[0] for r in batch.select("download_date").distinct().limit(MAX_DATES_PER_BATCH + 1).collect()]
-        if len(dates) > MAX_DATES_PER_BATCH:
-            raise ValueError(f"micro-batch {batch_id} touches more than {MAX_DATES_PER_BATCH} snapshot dates")
-        for d in sorted(x for x in dates if x is not None):
+        dates = [r[0] for r in batch.select("download_date").distinct().collect()]      # one per day landed
+        if None in dates:
+            raise ValueError(f"micro-batch {batch_id} has pages without a download date")
+        for d in sorted(dates):
             pages = landed_pages(spark, landing_dir).filter(F.col("download_date") == F.lit(d))
             run(spark, pages.drop("download_date"), snapshot_path, summary_path, main_summary_path,
                 cities=cities, configs=configs, snapshot_date=d)

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from flatwatch.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "orders", "lineitem", "pages", "documents"]
@@ -44,7 +45,7 @@ SQL_TYPE = {"StringType()": "VARCHAR", "DoubleType()": "DOUBLE", "LongType()": "
             "DateType()": "DATE", "BooleanType()": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rel = duck.sql(E.oracle_sql()[name])
