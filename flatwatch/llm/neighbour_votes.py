@@ -100,7 +100,8 @@ class Voters:
         return np.clip(np.where(total > 0, votes / np.where(total > 0, total, 1), self.labels.mean()), 0, 1)
 
 
-def fit(counts: np.ndarray, labels: np.ndarray, dims: int = 32, k: int = 15) -> Voters:
+def fit(counts: np.ndarray, labels: np.ndarray, dims: int = 32, k: int | None = None) -> Voters:
+    k = k or min(15, max(3, len(counts) // 20))
     df = (counts[:, :-SHARES] > 0).sum(axis=0)
     idf = (np.log((1 + len(counts)) / (1 + df)) + 1).astype(np.float32)
     if not len(counts):
@@ -124,9 +125,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int,
             .select("text", F.col("__label").alias("label")))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, dims: int = 32, k: int = 15,
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, dims: int = 32, k: int | None = None,
           doc_id: str = "doc_id", text: str = "text") -> Voters:
-    """Voters from a bounded sample of the labelled rows. Without any label every score is one half."""
+    """Voters from a bounded sample of the labelled rows. Without any label every score is one half.
+
+    ``k``: the neighbours that vote, by default one for 20 labelled rows, 3 at least and 15 at most.
+    """
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [terms(x) for x in utf8(batch.column("text"))]
