@@ -221,7 +221,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     known = (labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("label")))
-    classed = plain.join(known.filter(~for_curve()), "doc_id").select("text", "label")
+    # a shuffle join at every size: labels grow with the corpus, and a broadcast that only small inputs get would hide its cost
+    classed = plain.join(known.filter(~for_curve()).hint("merge"), "doc_id").select("text", "label")
     counts = (count_grams(classed, True).unionByName(count_grams(plain.select("text"), False))
               .groupBy("gram").agg(F.sum("tox").alias("tox"), F.sum("ord").alias("ord")))
     ratio = ratio_table(ratios(materialize(counts, "kn-counts")))
