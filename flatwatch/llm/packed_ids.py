@@ -102,7 +102,7 @@ def assemble(group: pa.Table, capacity: int, pad_id: int, dtype: str) -> pa.Tabl
 
 
 def packed(docs: DataFrame, capacity: int = 2048, pad_id: int = 0, end_id: int = END_ID, vocabulary: int = 50_257,
-           group_bytes: int = 8_000_000, doc_id: str = "doc_id", text: str = "text", make_encoder=encoder) -> DataFrame:
+           group_bytes: int = 4_000_000, doc_id: str = "doc_id", text: str = "text", make_encoder=encoder) -> DataFrame:
     """(sequence_id, n_tokens, ids, cu_seqlens, positions, doc_ids, pieces): one row per packed sequence.
 
     ``ids``: ``capacity`` little-endian ids (two bytes each if the vocabulary fits, else four), ``pad_id`` at the end;
@@ -114,14 +114,7 @@ def packed(docs: DataFrame, capacity: int = 2048, pad_id: int = 0, end_id: int =
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     groups = max(1, -(-total // (2 * group_bytes)))              # a token has two bytes or more of text, and two of ids
-    pieces = token_pieces(docs, capacity, end_id, doc_id, text, ids=True, make_encoder=make_encoder)
-
-    def narrow(batches):
-        for batch in batches:
-            ids = [np.frombuffer(x, "<u4").astype(dtype).tobytes() for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.binary())], names=batch.schema.names)
-
-    pieces = pieces.mapInArrow(narrow, pieces.schema) if dtype == "<u2" else pieces
+    pieces = token_pieces(docs, capacity, end_id, doc_id, text, ids=dtype, make_encoder=make_encoder)
     dealt = pieces.select(F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).alias("group"),
                           "doc_id", "piece", "length", "ids")
     kind = T.StructType([T.StructField("doc_ids", T.ArrayType(docs.schema[doc_id].dataType))])

@@ -61,16 +61,17 @@ def piece_bounds(n: int, size: int) -> list[tuple[int, int]]:
 
 
 def token_pieces(docs: DataFrame, size: int, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text",
-                 ids: bool = False, make_encoder: Callable = encoder) -> DataFrame:
+                 ids: str | None = None, make_encoder: Callable = encoder) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every row: ids of the text, then ``end_id``.
 
     A document of more than ``size`` ids is cut into pieces of ``size``, the first one shorter if need be; others are
-    one piece. Null and empty texts are the end id alone. ``ids``: the piece's ids as little-endian uint32.
+    one piece. Null and empty texts are the end id alone. ``ids``: the type in which the piece's ids are given, ``<u2`` or
+    ``<u4``; checksums are always those of ``<u4``.
     """
     if size < 1:
         raise ValueError("size must be positive")
     fields = [T.StructField("doc_id", docs.schema[doc_id].dataType)] + T._parse_datatype_string(
-        "piece int, start long, length long, ids_crc32 long" + ", ids binary" * ids).fields
+        "piece int, start long, length long, ids_crc32 long" + (", ids binary" if ids else "")).fields
 
     def setup():
         encode = make_encoder()
@@ -78,11 +79,11 @@ def token_pieces(docs: DataFrame, size: int, end_id: int = END_ID, doc_id: str =
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             row, out = [], []
             for i, t in enumerate(texts(batch.column("text"))):
-                raw = np.append(encode(t), np.uint32(end_id)).astype("<u4").tobytes()
-                for n, (s, k) in enumerate(piece_bounds(len(raw) // 4, size)):
-                    part = raw[4 * s:4 * (s + k)]
+                found = np.append(encode(t), np.uint32(end_id)).astype("<u4")
+                for n, (s, k) in enumerate(piece_bounds(len(found), size)):
+                    part = found[s:s + k]
                     row.append(i)
-                    out.append((n, s, k, zlib.crc32(part), part))
+                    out.append((n, s, k, zlib.crc32(part.tobytes()), part.astype(ids).tobytes() if ids else None))
             cols = list(zip(*out))
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][:5 if ids else 4]
             return pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row)),
