@@ -19,12 +19,12 @@ from flatwatch.session import build_session  # noqa: E402
 
 HEADLINE = (
     "city_summary_history",     # the accumulated summary: the benchmark named in the baseline
-    "city_summary_history_preagg",
     "city_summary",
     "main_city_summary",
     "enrich_listings",
     "price_text_parse",
     "city_dictionary_lookup",
+    "city_dictionary_lookup_large",
     "rooms_first_char",
     "page_items",
     "page_items_skip_promoted",
