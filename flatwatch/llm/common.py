@@ -32,6 +32,25 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(parts)
 
 
+#: Salts of the rows of a hot key: the bits of a long.
+SALTS = 64
+
+
+def salted(df: DataFrame) -> DataFrame:
+    """``df`` with ``__salt``, dealt out in turn. Write it before use: a row has to keep its salt when a task is repeated."""
+    return df.withColumn("__salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
+
+
+def salts_seen() -> Column:
+    """Aggregate: the salts of a group's rows as bits."""
+    return F.expr("bit_or(shiftleft(1L, __salt))")
+
+
+def each_salt(seen: Column) -> Column:
+    """A row for every salt in ``seen``: what is joined back on key and salt has no more rows than the rows it joins."""
+    return F.explode(F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda s: F.getbit(seen, s) == 1))
+
+
 def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
                setup: Callable[[], Callable] | None = None) -> DataFrame:
     """``mapInArrow`` that hands ``fn`` at most ``SLICE_ROWS`` rows at a time (bounded Python memory).

@@ -6,8 +6,9 @@ branches; those whose labelled urls don't differ from the node's by a test of pr
 ``+``. A url's template is its way through the tree. A template is rejected if its labelled purity, smoothed towards
 its host's, which is smoothed towards that of all urls, is below ``min_purity``.
 
-Counts aggregate on the map side and joins are shuffle joins on (node, value), which AQE splits for a hot host; no
-host's urls ever meet in one task.
+Counts aggregate on the map side. Only values that are not rare (fewer than ``1 / min_share`` at a node) and templates
+are joined back to the urls, on (node, value, salt): each url has one of 64 salts, and a value or template has a
+row for every salt among its urls, so those of a hot host are dealt out and never meet in one task.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatwatch.llm.common import table
+from flatwatch.llm.common import each_salt, salted, salts_seen, table
 from flatwatch.session import materialize
 
 #: The driver's list: (action, host, path).
@@ -52,24 +53,26 @@ def templates(urls: DataFrame, min_count: int = 20, min_share: float = 0.01, z:
     """
     own = [c for c in urls.columns if c != "template"]
     rows = urls.select(*own, F.filter(F.split("path", "/"), lambda s: s != "").alias("__parts"), F.lit("").alias("template"))
-    rows = materialize(rows, "url-tree")
+    rows = materialize(salted(rows), "url-tree")
     deepest = rows.agg(F.max(F.size("__parts"))).first()[0] or 0
     n, good = F.count(F.lit(1)), F.sum(F.col("good").cast("long"))
     for depth in range(min(deepest, max_depth)):
         here = rows.filter(F.size("__parts") > depth).withColumn("__value", F.col("__parts")[depth])
-        values = here.groupBy("host", "template", "__value").agg(n.alias("n"), F.count("good").alias("m"), good.alias("g"))
+        values = here.groupBy("host", "template", "__value").agg(
+            n.alias("n"), F.count("good").alias("m"), good.alias("g"), salts_seen().alias("__salts"))
         nodes = values.groupBy("host", "template").agg(F.sum("n").alias("all_n"), F.sum("m").alias("all_m"), F.sum("g").alias("all_g"))
         p = F.col("all_g") / F.col("all_m")
         gap = F.abs(F.col("g") - F.col("m") * p)
         same = F.coalesce(gap <= z * F.sqrt(F.col("m") * p * (1 - p)), F.lit(True))
         rare = (F.col("n") < min_count) | (F.col("n") < min_share * F.col("all_n"))
-        branch = (values.join(nodes, ["host", "template"])
-                  .select("host", "template", "__value", F.when(rare, "*").when(same, "+").otherwise(F.col("__value")).alias("__branch")))
-        grown = rows.withColumn("__value", F.get("__parts", F.lit(depth))).join(branch, ["host", "template", "__value"], "left")
+        branch = (values.join(nodes, ["host", "template"]).filter(~rare)
+                  .select("host", "template", "__value", F.when(same, "+").otherwise(F.col("__value")).alias("__branch"),
+                          each_salt(F.col("__salts")).alias("__salt")))
+        grown = (rows.withColumn("__value", F.get("__parts", F.lit(depth)))
+                 .join(branch, ["host", "template", "__value", "__salt"], "left"))
+        step = F.when(F.col("__value").isNull(), "").otherwise(F.concat(F.lit("/"), F.coalesce("__branch", F.lit("*"))))
         tail = F.when(F.size("__parts") > max_depth, F.lit("/**")).otherwise("") if depth + 1 == max_depth else F.lit("")
-        rows = materialize(grown.select(*own, "__parts", F.concat(
-            "template", F.when(F.col("__branch").isNull(), "").otherwise(F.concat(F.lit("/"), F.col("__branch"))), tail).alias("template")),
-            "url-tree")
+        rows = materialize(grown.select(*own, "__parts", "__salt", F.concat("template", step, tail).alias("template")), "url-tree")
     return rows.select(*own, F.when(F.col("template") == "", "/").otherwise(F.col("template")).alias("template"))
 
 
@@ -85,16 +88,18 @@ def judge(urls: DataFrame, rules=RULES, min_purity: float = 0.5, weight: float =
     own = [c for c in urls.columns if c not in made]
     name, action = matched_rule(F.col("host"), F.col("path"), rules)
     split = urls.select(*own, host.alias("host"), path.alias("path"))
-    rows = materialize(templates(split.select("*", name.alias("rule"), action.alias("action")), **options), "url-templates")
-    counts = rows.groupBy("host", "template").agg(F.count("good").alias("n"), F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0)).alias("g"))
+    rows = materialize(salted(templates(split.select("*", name.alias("rule"), action.alias("action")), **options)), "url-templates")
+    counts = rows.groupBy("host", "template").agg(F.count("good").alias("n"), F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0)).alias("g"),
+                                                  salts_seen().alias("__salts"))
     counts = materialize(counts, "url-counts")
     total = counts.agg(F.sum("n").alias("n"), F.sum("g").alias("g")).first()
     base = F.lit((total["g"] + 1) / (total["n"] + 1) if total["n"] else 1.0)
     hosts = counts.groupBy("host").agg(smoothed(F.sum("g"), F.sum("n"), base, weight).alias("host_purity"))
     pure = (counts.join(hosts, "host")
-            .select("host", "template", smoothed(F.col("g"), F.col("n"), F.col("host_purity"), weight).alias("purity")))
+            .select("host", "template", smoothed(F.col("g"), F.col("n"), F.col("host_purity"), weight).alias("purity"),
+                    each_salt(F.col("__salts")).alias("__salt")))
     verdict = F.coalesce("action", F.when(F.col("purity") < min_purity, "block").otherwise("allow"))
-    return (rows.join(pure, ["host", "template"], "left")
+    return (rows.join(pure, ["host", "template", "__salt"], "left")
             .select(*own, "host", "path", "rule", "template", "purity", verdict.alias("verdict")))
 
 
