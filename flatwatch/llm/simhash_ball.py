@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatwatch.llm.common import map_slices, popcount, row_key, table, utf8
+from flatwatch.llm.common import each_salt, map_slices, popcount, row_key, salted, salts_seen, table, utf8
 from flatwatch.llm.components import connected_components
 from flatwatch.session import materialize
 
@@ -202,17 +202,18 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, seed: in
 
     Null or empty texts have fingerprint zero and are linked like any other. A null doc_id gets a fingerprint and
     component, and never names one unless all ids of the component are null. Repeated rows are returned as often as
-    they come. An empty table gives no rows; other columns are ignored, so their names can't clash.
+    they come; the copies of one text meet their component dealt out by salts. An empty table gives no rows; other
+    columns are ignored, so their names can't clash.
     """
-    fps = materialize(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), words, seed),
+    fps = materialize(salted(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), words, seed)),
                       "simhash-fp")
-    nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
+    nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), salts_seen().alias("__salts")), "simhash-nodes")
     named = connected_components(materialize(links(nodes.select("fp"), max_bits, hot_rows), "simhash-links"))
     of_root = (named.join(nodes, named["node"] == nodes["fp"]).groupBy("root").agg(F.min("least").alias("component_id")))
     of_node = named.join(of_root, "root").select(F.col("node").alias("fp"), "component_id")
     linked = (nodes.join(of_node, "fp", "left")
-              .select("fp", F.coalesce("component_id", "least").alias("component_id")))
-    return fps.join(linked, "fp", "left").select("doc_id", "fp", "component_id")
+              .select("fp", F.coalesce("component_id", "least").alias("component_id"), each_salt(F.col("__salts")).alias("__salt")))
+    return fps.join(linked, ["fp", "__salt"], "left").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
