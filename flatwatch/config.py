@@ -20,7 +20,7 @@ class SourceConfig:
     title: Selector
     price: Selector | None
     location: Selector | None
-    # Container segment ends at its closing tag (True) or at the next container (False, for nesting tags).
+    # The container ends at the first closing tag (True), or its tag nests and depth is counted (False).
     container_closes: bool = True
     # Match tag names in any letter case (slower); the portals' markup is lowercase.
     case_insensitive_tags: bool = False
@@ -43,7 +43,7 @@ class SourceConfig:
 
 # --- fixed values (must stay exactly as written: they select and clean the portals' markup) ------------
 PORTAL_A = SourceConfig(
-    name="otodom",
+    name="portal_a",
     container=Selector("article", ("css-1rtqihe es62z2j18", "css-e6zjf7 es62z2j18")),
     container_closes=True,
     title=Selector("h3", "css-1rhznz4 es62z2j13"),
@@ -62,7 +62,7 @@ PORTAL_A = SourceConfig(
 )
 
 PORTAL_B = SourceConfig(
-    name="olx",
+    name="portal_b",
     container=Selector("div", ("css-1apmciz",)),
     container_closes=False,
     title=Selector("h6", "css-v3vynn-Text eu5v0x0"),

@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import SOURCES
 from ..schema import AREA_BUCKET_OTHER, AREA_BUCKETS, NORMAL, URGENCY_KEYWORDS, URGENT
 
 # Categories whose rows carry constant defaults (sqm_bucket '0', price_per_sqm 0): source -> types.
-DEFAULT_TYPES = {"olx": ("room",)}
+DEFAULT_TYPES = {cfg.name: cfg.default_types for cfg in SOURCES if cfg.default_types}
 
 
 def area_bucket(area: Column, null_bucket: str = AREA_BUCKET_OTHER) -> Column:

@@ -118,9 +118,9 @@ def q_snapshot_filter(spark, sf):
 def q_union_sources(spark, sf):
     """Three category frames with different columns (portal B rows carry no rooms, its rooms no area)."""
     lst = tv.listing_view(spark, sf)
-    a = lst.filter(F.col("source") == "otodom")
-    b_flats = lst.filter((F.col("source") == "olx") & (F.col("type") != "room")).drop("post_rooms")
-    b_rooms = lst.filter((F.col("source") == "olx") & (F.col("type") == "room")).drop("post_rooms", "post_sqmetrage")
+    a = lst.filter(F.col("source") == "portal_a")
+    b_flats = lst.filter((F.col("source") == "portal_b") & (F.col("type") != "room")).drop("post_rooms")
+    b_rooms = lst.filter((F.col("source") == "portal_b") & (F.col("type") == "room")).drop("post_rooms", "post_sqmetrage")
     return union_by_name([a, b_flats, b_rooms], LISTING_BASE)
 
 

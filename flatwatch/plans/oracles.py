@@ -24,21 +24,21 @@ LST = """SELECT n_name AS post_city, l_extendedprice AS post_price,
   o_orderpriority AS post_title,
   CAST(date_trunc('week', o_orderdate) AS DATE) AS download_date,
   """ + TYPE_OF_STATUS + """ AS type,
-  CASE WHEN l_returnflag = 'R' THEN 'olx' ELSE 'otodom' END AS source
+  CASE WHEN l_returnflag = 'R' THEN 'portal_b' ELSE 'portal_a' END AS source
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
 
 _URGENT = " OR ".join(f"contains(post_title, {_q(k)})" for k in TEST_KEYWORDS)
 
 ENR = """SELECT *,
-  CASE WHEN source = 'olx' AND type = 'room' THEN '0'
+  CASE WHEN source = 'portal_b' AND type = 'room' THEN '0'
        WHEN post_sqmetrage < 30 THEN '<30'
        WHEN post_sqmetrage >= 30 AND post_sqmetrage < 50 THEN '30-49'
        WHEN post_sqmetrage >= 50 AND post_sqmetrage < 75 THEN '50-74'
        WHEN post_sqmetrage >= 75 AND post_sqmetrage <= 100 THEN '75-100'
        ELSE '>100' END AS sqm_bucket,
   CASE WHEN """ + _URGENT + """ THEN 'urgent' ELSE 'normal' END AS urgency,
-  CASE WHEN source = 'olx' AND type = 'room' THEN CAST(0 AS DOUBLE)
+  CASE WHEN source = 'portal_b' AND type = 'room' THEN CAST(0 AS DOUBLE)
        ELSE post_price / NULLIF(post_sqmetrage, 0) END AS price_per_sqm
 FROM (""" + LST + """) lst"""
 
@@ -90,8 +90,8 @@ SNAPSHOT_FILTER = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
                    "WHERE CAST(date_trunc('week', o_orderdate) AS DATE) = " + D)
 
 UNION_SOURCES = """SELECT post_title, post_price, post_city,
-  CASE WHEN source = 'olx' AND type = 'room' THEN CAST(NULL AS DOUBLE) ELSE post_sqmetrage END AS post_sqmetrage,
-  CASE WHEN source = 'olx' THEN CAST(NULL AS INTEGER) ELSE post_rooms END AS post_rooms,
+  CASE WHEN source = 'portal_b' AND type = 'room' THEN CAST(NULL AS DOUBLE) ELSE post_sqmetrage END AS post_sqmetrage,
+  CASE WHEN source = 'portal_b' THEN CAST(NULL AS INTEGER) ELSE post_rooms END AS post_rooms,
   download_date, type, source
 FROM (""" + LST + ") l"
 
@@ -255,44 +255,44 @@ ORACLES: dict[str, str] = {
 # ---- full ingest of rendered portal pages (portal_pages.py) --------------------------------------------
 _PORTAL_BASE = """SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
     l_linestatus, o_orderpriority, c_acctbal, n_name,
-    CASE WHEN l_returnflag = 'R' THEN 'olx' ELSE 'otodom' END AS source, """ + TYPE_OF_STATUS + """ AS type
+    CASE WHEN l_returnflag = 'R' THEN 'portal_b' ELSE 'portal_a' END AS source, """ + TYPE_OF_STATUS + """ AS type
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
 PORTAL_INGEST = """WITH base AS (""" + _PORTAL_BASE + """),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY source, type ORDER BY l_orderkey, l_linenumber, l_extendedprice,
   l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) AS rn FROM base),
-kept AS (SELECT * FROM ranked WHERE source = 'olx' OR rn > 3),
+kept AS (SELECT * FROM ranked WHERE source = 'portal_b' OR rn > 3),
 listing AS (SELECT
   'Mieszkanie ' || o_orderpriority || ' & ogród' ||
     CASE o_orderpriority WHEN '1-URGENT' THEN ' pilne!' WHEN '2-HIGH' THEN ' sprzedam pilnie' ELSE '' END AS post_title,
-  CASE WHEN source = 'otodom'
+  CASE WHEN source = 'portal_a'
        THEN CASE WHEN l_discount = 0 OR l_tax = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(""" + _WHOLE + """ AS DOUBLE) END
        ELSE CASE WHEN l_discount = 0 THEN CAST(NULL AS DOUBLE) ELSE round(CAST(""" + _CENTS + """ AS DOUBLE) / 100, 2) END
   END AS post_price,
-  CASE WHEN source = 'otodom' AND c_acctbal < 0 THEN CAST(NULL AS VARCHAR) ELSE n_name END AS post_city,
-  CASE WHEN source = 'otodom'
+  CASE WHEN source = 'portal_a' AND c_acctbal < 0 THEN CAST(NULL AS VARCHAR) ELSE n_name END AS post_city,
+  CASE WHEN source = 'portal_a'
        THEN CASE WHEN least(l_linenumber, 5) IN (3, 4)
                  THEN CASE WHEN l_returnflag = 'A' THEN CAST(NULL AS DOUBLE) ELSE l_quantity * 2.5 END
                  ELSE CAST(0 AS DOUBLE) END
        ELSE CASE WHEN type = 'room' OR l_linenumber = 7 THEN CAST(NULL AS DOUBLE)
                  ELSE CAST(round_even(l_quantity / 2, 0) AS DOUBLE) END
   END AS post_sqmetrage,
-  CASE WHEN source = 'otodom'
+  CASE WHEN source = 'portal_a'
        THEN CASE WHEN least(l_linenumber, 5) IN (3, 4)
                  THEN CAST(left(CAST(CAST(floor(l_quantity / 4) AS BIGINT) AS VARCHAR), 1) AS INTEGER) ELSE 0 END
   END AS post_rooms,
   """ + D + """ AS download_date, type, source
   FROM kept)
 SELECT *,
-  CASE WHEN source = 'olx' AND type = 'room' THEN '0'
+  CASE WHEN source = 'portal_b' AND type = 'room' THEN '0'
        WHEN post_sqmetrage < 30 THEN '<30'
        WHEN post_sqmetrage >= 30 AND post_sqmetrage < 50 THEN '30-49'
        WHEN post_sqmetrage >= 50 AND post_sqmetrage < 75 THEN '50-74'
        WHEN post_sqmetrage >= 75 AND post_sqmetrage <= 100 THEN '75-100'
        ELSE '>100' END AS sqm_bucket,
   CASE WHEN contains(post_title, 'pilne') OR contains(post_title, 'pilnie') THEN 'urgent' ELSE 'normal' END AS urgency,
-  CASE WHEN source = 'olx' AND type = 'room' THEN CAST(0 AS DOUBLE)
+  CASE WHEN source = 'portal_b' AND type = 'room' THEN CAST(0 AS DOUBLE)
        ELSE post_price / NULLIF(post_sqmetrage, 0) END AS price_per_sqm
 FROM listing"""
 

@@ -74,19 +74,19 @@ def listing_view(spark: SparkSession, sf_dir: str, snapshot_date: _dt.date | Non
     j = (li.join(od, li.l_orderkey == od.o_orderkey)
          .join(cu, od.o_custkey == cu.c_custkey)
          .join(na, cu.c_nationkey == na.n_nationkey))
-    olx = F.col("l_returnflag") == "R"
+    in_b = F.col("l_returnflag") == "R"
     return j.select(
         F.col("n_name").alias("post_city"),
         F.col("l_extendedprice").alias("post_price"),
-        F.when(olx, F.lit(None).cast("int")).otherwise(F.col("l_linenumber")).alias("post_rooms"),
-        F.when(olx & (F.col("l_linenumber") == 7), F.lit(None).cast("double"))
-        .when(~olx & (F.col("l_quantity") == 1), F.lit(0.0))
+        F.when(in_b, F.lit(None).cast("int")).otherwise(F.col("l_linenumber")).alias("post_rooms"),
+        F.when(in_b & (F.col("l_linenumber") == 7), F.lit(None).cast("double"))
+        .when(~in_b & (F.col("l_quantity") == 1), F.lit(0.0))
         .otherwise(F.col("l_quantity") * 2.5).alias("post_sqmetrage"),
         F.col("o_orderpriority").alias("post_title"),
         week_of(F.col("o_orderdate")).alias("download_date"),
         F.when(F.col("o_orderstatus") == "O", "rent").when(F.col("o_orderstatus") == "F", "sell")
         .otherwise("room").alias("type"),
-        F.when(olx, "olx").otherwise("otodom").alias("source"),
+        F.when(in_b, "portal_b").otherwise("portal_a").alias("source"),
     )
 
 
@@ -222,21 +222,21 @@ def history_summary_preaggregated(spark: SparkSession, sf_dir: str, keywords=Non
     combined per (date, city, type) after the joins. The constant price per m² of portal-B rooms depends on
     the category, known only after the join, and is applied to the partials there.
     """
-    olx = F.col("l_returnflag") == "R"
-    area = (F.when(olx & (F.col("l_linenumber") == 7), F.lit(None).cast("double"))
-            .when(~olx & (F.col("l_quantity") == 1), F.lit(0.0))
+    in_b = F.col("l_returnflag") == "R"
+    area = (F.when(in_b & (F.col("l_linenumber") == 7), F.lit(None).cast("double"))
+            .when(~in_b & (F.col("l_quantity") == 1), F.lit(0.0))
             .otherwise(F.col("l_quantity") * 2.5))
     li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
                                            "l_returnflag"])
-    lines = li.select("l_orderkey", olx.alias("olx"), F.col("l_extendedprice").alias("price"),
-                      F.when(olx, F.lit(None).cast("int")).otherwise(F.col("l_linenumber")).alias("rooms"),
+    lines = li.select("l_orderkey", in_b.alias("in_b"), F.col("l_extendedprice").alias("price"),
+                      F.when(in_b, F.lit(None).cast("int")).otherwise(F.col("l_linenumber")).alias("rooms"),
                       area.alias("area"))
     lines = lines.withColumn("ppsqm", F.try_divide(F.col("price"), F.col("area")))
 
     def partials(c):
         return [F.sum(c).alias(f"{c}_sum"), F.count(c).alias(f"{c}_cnt"), F.min(c).alias(f"{c}_min"),
                 F.max(c).alias(f"{c}_max")]
-    per_order = lines.groupBy("l_orderkey", "olx").agg(
+    per_order = lines.groupBy("l_orderkey", "in_b").agg(
         F.count(F.lit(1)).alias("n"), *partials("price"), F.sum("rooms").alias("rooms_sum"),
         F.count("rooms").alias("rooms_cnt"), *partials("area"), *partials("ppsqm"))
     od = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
@@ -248,7 +248,7 @@ def history_summary_preaggregated(spark: SparkSession, sf_dir: str, keywords=Non
            .otherwise("room"))
     j = j.select("*", typ.alias("type"), week_of(F.col("o_orderdate")).alias("download_date"),
                  F.col("n_name").alias("post_city"))
-    room = F.col("olx") & (F.col("type") == "room")          # portal-B rooms: price per m² is 0 for every post
+    room = F.col("in_b") & (F.col("type") == "room")          # portal-B rooms: price per m² is 0 for every post
     j = j.select("download_date", "post_city", "type", "n", "price_sum", "price_cnt", "price_min", "price_max",
                  "rooms_sum", "rooms_cnt", "area_sum", "area_cnt", "area_min", "area_max",
                  F.when(room, F.lit(0.0)).otherwise(F.col("ppsqm_sum")).alias("ppsqm_sum"),

@@ -24,7 +24,7 @@ PROMO = [a_post(f"Promo {i}", ["1 000 zł", "1 pokój", "30 m²"], "X, Warszawa"
 
 PAGES = [
     # portal A, rent: 3 promoted, then 4/3/2/5 spans, a non-matching article right after a matching one
-    ("otodom", "rent", 0, page(
+    ("portal_a", "rent", 0, page(
         *PROMO,
         a_post("Mieszkanie <b>pilne</b> &amp; tanio", ["2 500 zł/mc", "+ czynsz 500 zł", "3 pokoje", "45.5 m²"],
                "Mokotów, Warszawa, mazowieckie"),
@@ -34,18 +34,18 @@ PAGES = [
         a_post("Dom", ["Zapytaj o cenę", "x", "10+ pokoi", "120 m²", "parter"], "Łódź"),
     )),
     # portal A, sell over two pages: the skip of 3 applies once to the category, across pages
-    ("otodom", "sell", 0, page(a_post("S1", ["100 000 zł", "2 pokoje", "50 m²"], "Łódź"),
+    ("portal_a", "sell", 0, page(a_post("S1", ["100 000 zł", "2 pokoje", "50 m²"], "Łódź"),
                                a_post("S2", ["200 000 zł", "3 pokoje", "75 m²"], "Łódź"))),
-    ("otodom", "sell", 1, page(a_post("S3", ["300 000 zł", "4 pokoje", "100 m²"], "Łódź"),
+    ("portal_a", "sell", 1, page(a_post("S3", ["300 000 zł", "4 pokoje", "100 m²"], "Łódź"),
                                a_post("S4 sprzedam pilnie", ["400 000 zł", "5 pokoi", "100.5 m²"], "Łódź"),
                                a_post("S5", ["500 000 zł", "1 pokój", "29.99 m²"], "Łódź"))),
     # portal A, room: a page without posts
-    ("otodom", "room", 0, page("<p>Brak ofert</p>")),
+    ("portal_a", "room", 0, page("<p>Brak ofert</p>")),
     # portal B: nested divs, missing area, rooms get constant defaults
-    ("olx", "rent", 2, page(b_post("B1", "1 234,56 zł do negocjacji", "Kraków, Centrum - dzisiaj", "42,5 m²"),
+    ("portal_b", "rent", 2, page(b_post("B1", "1 234,56 zł do negocjacji", "Kraków, Centrum - dzisiaj", "42,5 m²"),
                             b_post("B2", "2 000 zł", "Warszawa - dzisiaj"),
                             b_post("B3 pilnie", "3 000 zł", "Bielsko-Biała, Centrum", "43,5 m²"))),
-    ("olx", "room", 2, page(b_post("R1", "800 zł", "Gdańsk, Wrzeszcz", "12 m²"))),
+    ("portal_b", "room", 2, page(b_post("R1", "800 zł", "Gdańsk, Wrzeszcz", "12 m²"))),
 ]
 
 CITIES = ["Warszawa", "Kraków", "Łódź", "Gdańsk"]

@@ -32,20 +32,20 @@ def _listing(city, price, area, rooms, typ, source, date=D, title="t"):
 
 
 def test_room_defaults(spark):
-    df = spark.createDataFrame([_listing("A", 500.0, 10.0, None, "room", "olx"),
-                                _listing("A", 500.0, 10.0, 1, "room", "otodom")], LISTING_BASE)
+    df = spark.createDataFrame([_listing("A", 500.0, 10.0, None, "room", "portal_b"),
+                                _listing("A", 500.0, 10.0, 1, "room", "portal_a")], LISTING_BASE)
     rows = sorted(enrich(df).select("source", "sqm_bucket", "price_per_sqm").collect())
-    assert [tuple(r) for r in rows] == [("olx", "0", 0.0), ("otodom", "<30", 50.0)]
+    assert [tuple(r) for r in rows] == [("portal_a", "<30", 50.0), ("portal_b", "0", 0.0)]
 
 
 def test_city_summary_cases(spark):
     rows = [
-        _listing(None, 100.0, 10.0, 1, "rent", "otodom"),            # NULL-city group
-        _listing("B", None, 50.0, 2, "sell", "otodom"),              # all prices NULL
-        _listing("B", None, 51.0, 3, "sell", "olx"),
-        _listing("C", 1.0, 10.0, 1, "rent", "otodom"),               # mean exactly .5 rounds up
-        _listing("C", 2.0, 10.0, 2, "rent", "olx"),                  # both portals merged
-        _listing("C", 1000.0, 10.0, 2, "rent", "olx", date=OTHER),   # another date excluded
+        _listing(None, 100.0, 10.0, 1, "rent", "portal_a"),            # NULL-city group
+        _listing("B", None, 50.0, 2, "sell", "portal_a"),              # all prices NULL
+        _listing("B", None, 51.0, 3, "sell", "portal_b"),
+        _listing("C", 1.0, 10.0, 1, "rent", "portal_a"),               # mean exactly .5 rounds up
+        _listing("C", 2.0, 10.0, 2, "rent", "portal_b"),                  # both portals merged
+        _listing("C", 1000.0, 10.0, 2, "rent", "portal_b", date=OTHER),   # another date excluded
     ]
     listings = enrich(spark.createDataFrame(rows, LISTING_BASE))
     s = city_summary(listings, D)
