@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import SourceConfig
+from .clean import clean_price_text, parse_price
+
 
 def listing_quality(listings: DataFrame, keys: Sequence[str] = ("download_date", "source", "type")) -> DataFrame:
     """Posts per key and how many lack a price, a city or an area, or have a zero area."""
@@ -19,3 +22,9 @@ def listing_quality(listings: DataFrame, keys: Sequence[str] = ("download_date",
         missing("post_sqmetrage").alias("missing_area"),
         F.count_if(F.col("post_sqmetrage") == 0).alias("zero_area"),
     )
+
+
+def price_status(text: Column, cfg: SourceConfig) -> Column:
+    """Why a price text has no value: 'missing' element, the portal's 'ask' text, or 'unparseable'; 'ok' if it has one."""
+    asks = clean_price_text(text, cfg.price_replacements, ()).isin(*cfg.price_sentinels) if cfg.price_sentinels else F.lit(False)
+    return (F.when(text.isNull(), "missing").when(asks, "ask").when(parse_price(text, cfg).isNull(), "unparseable").otherwise("ok"))

@@ -19,7 +19,7 @@ from ..operators.cities import city_positional, with_city
 from ..operators.clean import area_from_spans, parse_price, rooms_from_spans
 from ..operators.enrich import enrich, price_per_area, urgency
 from ..operators.extract import split_containers
-from ..operators.quality import listing_quality
+from ..operators.quality import listing_quality, price_status
 from ..operators.skip import skip_leading
 from ..operators.summary import city_summary, city_summary_history, main_city_summary
 from ..operators.union import union_by_name
@@ -28,7 +28,7 @@ from ..session import materialize, scratch_path
 from ..sinks.snapshot import read_snapshot, write_jdbc, write_snapshot
 from ..sources.cities import grid_to_dictionary, read_city_dictionary
 from ..sources.jdbc import read_jdbc
-from ..sources.pages import missing_pages, page_catalogue
+from ..sources.pages import missing_pages, page_catalogue, read_pages
 from . import testview as tv
 from .pipeline import ingest
 from .portal_pages import portal_pages
@@ -137,6 +137,14 @@ def q_price_text_parse(spark, sf):
                      parse_price(F.col("price_text"), PORTAL_A).alias("post_price"))
 
 
+def q_price_text_faults(spark, sf):
+    """Why prices are NULL: element missing (here every seventh line), the portal's 'ask' text, or not a number."""
+    text = F.when(F.col("l_linenumber") != 7, tv.price_text_a())
+    li = _lineitem_texts(spark, sf).withColumn("price_text", text)
+    return (li.groupBy("l_returnflag", price_status(F.col("price_text"), PORTAL_A).alias("status"))
+            .agg(F.count(F.lit(1)).alias("number_of_posts")))
+
+
 def q_price_text_negotiable(spark, sf):
     li = _lineitem_texts(spark, sf).withColumn("price_text", tv.price_text_b())
     return li.select("l_orderkey", "l_linenumber", "price_text",
@@ -315,6 +323,13 @@ def q_stored_main_city_summary(spark, sf):
     return _rerun(spark, q_city_summary(spark, sf), right, SNAPSHOT_DATE, right.columns)
 
 
+def q_landed_pages(spark, sf):
+    """Pages landed as Parquet by source and type, read back as a table of pages."""
+    path = scratch_path(spark, "landed")
+    portal_pages(spark, sf).write.partitionBy("source", "type").parquet(path)
+    return read_pages(spark, path).select("source", "type", "page", "url", F.substring("html", 1, 15).alias("doctype"))
+
+
 # ---- the whole job on rendered portal pages (EXT-1..11, CLN-*, PRJ-*, SET-1, AGG-6) ------------------------
 
 def q_portal_ingest(spark, sf):
@@ -342,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "posts_per_key": q_posts_per_key,
     "listing_quality": q_listing_quality,
     "price_text_parse": q_price_text_parse,
+    "price_text_faults": q_price_text_faults,
     "price_text_negotiable": q_price_text_negotiable,
     "city_dictionary_lookup": q_city_dictionary_lookup,
     "city_dictionary_lookup_large": q_city_dictionary_lookup_large,
@@ -362,6 +378,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_city_summary": q_snapshot_city_summary,
     "stored_city_summary": q_stored_city_summary,
     "stored_main_city_summary": q_stored_main_city_summary,
+    "landed_pages": q_landed_pages,
     "portal_ingest": q_portal_ingest,
     "portal_ingest_summary": q_portal_ingest_summary,
 }

@@ -301,3 +301,9 @@ PORTAL_INGEST_SUMMARY = ("SELECT post_city, type, " + AGGS + ", " + D + " AS dow
 
 ORACLES["portal_ingest"] = PORTAL_INGEST
 ORACLES["portal_ingest_summary"] = PORTAL_INGEST_SUMMARY
+ORACLES["landed_pages"] = """SELECT DISTINCT source, type, l_orderkey AS page,
+  'https://listings.example/' || source || '/' || type || '?page=' || CAST(l_orderkey AS VARCHAR) AS url,
+  '<!DOCTYPE html>' AS doctype FROM (""" + _PORTAL_BASE + """) b"""
+ORACLES["price_text_faults"] = """SELECT l_returnflag,
+  CASE WHEN l_linenumber = 7 THEN 'missing' WHEN l_discount = 0 THEN 'ask' WHEN l_tax = 0 THEN 'unparseable' ELSE 'ok' END AS status,
+  count(*) AS number_of_posts FROM lineitem GROUP BY 1, 2"""
