@@ -323,11 +323,15 @@ def q_stored_main_city_summary(spark, sf):
     return _rerun(spark, q_city_summary(spark, sf), right, SNAPSHOT_DATE, right.columns)
 
 
-def q_landed_pages(spark, sf):
-    """Pages landed as Parquet by source and type, read back as a table of pages."""
+def _landed(spark, sf) -> DataFrame:
+    """The portals' pages landed as Parquet by source, so each portal's branch of a job reads its own folder."""
     path = scratch_path(spark, "landed")
-    portal_pages(spark, sf).write.partitionBy("source", "type").parquet(path)
-    return read_pages(spark, path).select("source", "type", "page", "url", F.substring("html", 1, 15).alias("doctype"))
+    portal_pages(spark, sf).write.partitionBy("source").parquet(path)
+    return read_pages(spark, path)
+
+
+def q_landed_pages(spark, sf):
+    return _landed(spark, sf).select("source", "type", "page", "url", F.substring("html", 1, 15).alias("doctype"))
 
 
 # ---- the whole job on rendered portal pages (EXT-1..11, CLN-*, PRJ-*, SET-1, AGG-6) ------------------------
@@ -335,7 +339,7 @@ def q_landed_pages(spark, sf):
 def q_portal_ingest(spark, sf):
     """Pages in both portals' markup -> listings of one snapshot (the original scrapers' work, distributed)."""
     cities = grid_to_dictionary(tv.dictionary_grid(spark, sf))
-    return ingest(portal_pages(spark, sf), SOURCES, cities, SNAPSHOT_DATE)
+    return ingest(_landed(spark, sf), SOURCES, cities, SNAPSHOT_DATE)
 
 
 def q_portal_ingest_summary(spark, sf):
