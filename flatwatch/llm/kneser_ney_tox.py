@@ -9,19 +9,22 @@ classes alike. Where a four-byte context has evidence, the log ratio of the clas
     log P(x | h, toxic) - log P(x | h, ordinary),
 
 and for a byte that neither class has seen after it, the ratio of the two back-off weights. Counting, continuation
-counts and ratios are Spark aggregates over grams; the ratios end in a table of ``2 ** TABLE_BITS`` bins, the only
-thing sent to tasks. The log ratio of a word is the sum over its bytes. A text is measured by means per word: of its
+counts and ratios are Spark aggregates over grams. A ratio is kept under its exact gram or context: up to ``MAX_KEYS`` of
+them are sent to tasks as a hash table that grows with their number; more are joined to the distinct grams of chunks of
+documents, so that a task holds a chunk's ratios only. The log ratio of a word is the sum over its bytes. A text is measured by means per word: of its
 most telling word, three words and six words, and of all words, so that neither likelihood grows with the length; a
 logistic curve over these, fitted on a bounded sample of labelled rows that gave no counts, makes the score.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +35,10 @@ from flatwatch.llm.neighbour_votes import labelled_sample
 from flatwatch.session import materialize
 
 ORDER, SHARED_CONTEXT, DISCOUNT = 5, 2, 0.95
-TABLE_BITS = 22
+#: Ratios that are broadcast, at about 20 to 28 bytes each; more are joined.
+MAX_KEYS = 1 << 22
+#: A chunk of documents ends with the row that reaches one of these, where ratios are joined.
+CHUNK_ROWS, CHUNK_BYTES = 256, 1 << 22
 #: Words whose mean log ratio is measured, the most telling first, and the bounds of a word in the mean of all.
 TELLING, BOUNDS = (1, 3, 6), (-3.0, 8.0)
 #: Labelled rows that fit the curve, and one in how many labelled rows is kept for it.
@@ -40,7 +46,9 @@ CURVE_SAMPLE, CURVE_PART = 4000, 5
 #: Distinct grams that a task adds up before it hands them on.
 HELD_GRAMS = 1 << 20
 BLOCK = 1 << 18
-GRAM_MIX, CONTEXT_MIX = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+#: Keys of contexts are above those of grams.
+CONTEXT = 1 << 8 * ORDER
+MIX = 0x9E3779B97F4A7C15
 
 
 def grams(raw: bytes) -> Iterator[np.ndarray]:
@@ -106,7 +114,7 @@ def count_grams(docs: DataFrame, classed: bool) -> DataFrame:
 
 
 def ratios(counts: DataFrame, discount: float = DISCOUNT) -> DataFrame:
-    """(key, kind, ratio, weight) of every gram (kind 0) and context (kind 1) with evidence, from (gram, tox, ord).
+    """(key, ratio) of every gram and, ``CONTEXT`` added to it, every context with evidence, from (gram, tox, ord).
 
     Grams without evidence count for the shared continuation counts.
     """
@@ -127,44 +135,109 @@ def ratios(counts: DataFrame, discount: float = DISCOUNT) -> DataFrame:
         return own + back(c) * F.col("p")
 
     explicit = (seen.join(shared, "low").join(contexts, "h")
-                .select(F.col("gram").alias("key"), F.lit(0).alias("kind"), (F.log(p("tox", "t")) - F.log(p("ord", "o"))).alias("ratio"),
-                        (F.col("tox") + F.col("ord")).cast("double").alias("weight")))
-    unseen = contexts.select(F.col("h").alias("key"), F.lit(1).alias("kind"), (F.log(back("t")) - F.log(back("o"))).alias("ratio"),
-                             (F.col("all_t") + F.col("all_o")).cast("double").alias("weight"))
+                .select(F.col("gram").alias("key"), (F.log(p("tox", "t")) - F.log(p("ord", "o"))).cast("float").alias("ratio")))
+    unseen = contexts.select((F.col("h") + F.lit(CONTEXT)).alias("key"), (F.log(back("t")) - F.log(back("o"))).cast("float").alias("ratio"))
     return explicit.unionByName(unseen)
 
 
-def slot(keys: np.ndarray, mix: int) -> np.ndarray:
-    x = (keys + np.uint64(1)) * np.uint64(mix)
-    return ((x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+class Ratios:
+    """Ratios by exact key: the keys in order of their slots, and where each slot starts; two to four slots for a key."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(8, len(keys).bit_length() + 1)
+        slots = self.slot(keys)
+        order = np.argsort(slots, kind="stable")
+        self.keys, self.values = keys[order], values[order].astype(np.float32)
+        self.first = np.concatenate(([0], np.cumsum(np.bincount(slots, minlength=1 << self.bits)))).astype(np.int32)
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        x = (keys + np.uint64(1)) * np.uint64(MIX)
+        return ((x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The ratios of ``keys``, NaN for those that have none."""
+        slots = self.slot(keys)
+        at, end = self.first[slots], self.first[slots + 1]
+        out = np.full(len(keys), np.nan)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            place = at[left]
+            same = self.keys[place] == keys[left]
+            out[left[same]] = self.values[place[same]]
+            left = left[~same]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        return out
+
+
+def ratio_table(found: DataFrame) -> Ratios | DataFrame:
+    """All of ``found``, to be broadcast; beyond ``MAX_KEYS`` rows as a written table, to be joined."""
+    found = materialize(found, "kn-ratios")
+    if found.count() > MAX_KEYS:
+        return found
+    rows = found.toArrow()                                                                          # at most MAX_KEYS rows
+    return Ratios(rows.column("key").to_numpy().view(np.uint64), rows.column("ratio").to_numpy())
+
+
+def in_chunks(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` plus ``__chunk``: neighbouring rows, in bounded number and bytes. Write it before use: chunks depend on the task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, rows, size = TaskContext.get().partitionId() << 40, 0, 0
+        for batch in batches:
+            out = []
+            for n in pa.compute.binary_length(batch.column(text)).to_pylist():
+                if rows >= CHUNK_ROWS or size >= CHUNK_BYTES:
+                    chunk, rows, size = chunk + 1, 0, 0
+                rows, size = rows + 1, size + (n or 0)
+                out.append(chunk)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=[*batch.schema.names, "__chunk"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__chunk", T.LongType())]))
 
 
-def ratio_table(found: DataFrame) -> np.ndarray:
-    """``2 ** TABLE_BITS`` ratios, NaN where nothing is; keys that share a bin are averaged by weight."""
+def keys_asked(chunks: DataFrame, text: str) -> DataFrame:
+    """(__chunk, key): the grams and contexts of every chunk, once for each slice of rows."""
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = batch.column("key").to_numpy().view(np.uint64)
-            kind = batch.column("kind").to_numpy()
-            weight = batch.column("weight").to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.where(kind == 0, slot(key, GRAM_MIX), slot(key, CONTEXT_MIX))),
-                 pa.array(batch.column("ratio").to_numpy() * weight), pa.array(weight)], names=["bin", "sum", "weight"])
-
-    rows = (found.mapInArrow(place, "bin long, sum double, weight double").groupBy("bin")
-            .agg((F.sum("sum") / F.sum("weight")).cast("float").alias("ratio")).toArrow())          # at most 2 ** TABLE_BITS rows
-    out = np.full(1 << TABLE_BITS, np.nan, np.float32)
-    out[rows.column("bin").to_numpy()] = rows.column("ratio").to_numpy()
-    return out
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                found: dict[int, list] = {}
+                for raw, c in zip(utf8(part.column(text)), part.column("__chunk").to_pylist()):
+                    found.setdefault(c, []).extend(np.unique(g) for g in grams(raw))
+                for c, parts in found.items():
+                    if parts:
+                        g = np.unique(np.concatenate(parts))
+                        keys = np.concatenate((g, np.unique(g >> np.uint64(8)) + np.uint64(CONTEXT))).view(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), c)), pa.array(keys)], names=["__chunk", "key"])
 
+    return chunks.select("__chunk", text).mapInArrow(run, "__chunk long, key long")
 
-def measures(raw: bytes, ratio: np.ndarray) -> np.ndarray:
+
+def with_ratios(docs: DataFrame, ratio: Ratios | DataFrame, fn: Callable[[pa.RecordBatch, Ratios], pa.RecordBatch],
+                schema: str | T.StructType, text: str = "text") -> DataFrame:
+    """``fn`` over slices of ``docs`` and the ratios of all grams of their texts. Nothing is shuffled if ``ratio`` is in memory."""
+    if isinstance(ratio, Ratios):
+        sent = docs.sparkSession.sparkContext.broadcast(ratio)
+        return map_slices(docs, lambda batch: fn(batch, sent.value), schema)
+
+    def run(rows: pa.Table, known: pa.Table) -> pa.Table:
+        own = Ratios(known.column("key").to_numpy().view(np.uint64), known.column("ratio").to_numpy())
+        return pa.Table.from_batches([fn(b.slice(at, SLICE_ROWS), own) for b in rows.to_batches() for at in range(0, b.num_rows, SLICE_ROWS)])
+
+    chunks = materialize(in_chunks(docs, text), "kn-chunks")
+    known = keys_asked(chunks, text).join(ratio.hint("merge"), "key").select("__chunk", "key", "ratio")
+    return chunks.groupBy("__chunk").cogroup(known.groupBy("__chunk")).applyInArrow(run, schema)
+
+
+def measures(raw: bytes, ratio: Ratios) -> np.ndarray:
     """Mean log ratios of the most telling words (missing ones count as 0) and, in bounds, of all. No letters: zeros."""
     sums, ends = [], []
     for g in grams(raw):
-        r = ratio[slot(g, GRAM_MIX)].astype(np.float64)
+        r = ratio.find(g)
         none = np.flatnonzero(np.isnan(r))
-        r[none] = np.nan_to_num(ratio[slot(g[none] >> np.uint64(8), CONTEXT_MIX)])
+        r[none] = np.nan_to_num(ratio.find((g[none] >> np.uint64(8)) + np.uint64(CONTEXT)))
         sums.append(r)
         ends.append((g & np.uint64(255)) == 32)
     out = np.zeros(len(TELLING) + 1)
@@ -201,15 +274,15 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 60
     return w
 
 
+def on_curve(x: np.ndarray, curve: np.ndarray) -> float:
+    return float(1 / (1 + np.exp(-np.clip(curve[0] + (x * SCALE) @ curve[1:], -30, 30))))
+
+
 @dataclass
 class Model:
-    ratio: np.ndarray
+    ratio: Ratios | DataFrame
     curve: np.ndarray
 
-    def score(self, raw: bytes) -> float:
-        x = self.curve[0] + (measures(raw, self.ratio) * SCALE) @ self.curve[1:]
-        return float(1 / (1 + np.exp(-np.clip(x, -30, 30))))
-
 
 def for_curve() -> Column:
     return F.pmod(F.xxhash64(F.lit("curve"), F.col("doc_id")), F.lit(CURVE_PART)) == 0
@@ -226,14 +299,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
     counts = (count_grams(classed, True).unionByName(count_grams(plain.select("text"), False))
               .groupBy("gram").agg(F.sum("tox").alias("tox"), F.sum("ord").alias("ord")))
     ratio = ratio_table(ratios(materialize(counts, "kn-counts")))
-    sent = docs.sparkSession.sparkContext.broadcast(ratio)
 
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = [measures(t, sent.value) for t in utf8(batch.column("text"))]
+    def one(batch: pa.RecordBatch, known: Ratios) -> pa.RecordBatch:
+        x = [measures(t, known) for t in utf8(batch.column("text"))]
         return pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column("label")], names=["x", "label"])
 
     sample = labelled_sample(plain, known.filter(for_curve()).withColumnRenamed("label", "toxic"), "toxic", curve_sample, "doc_id", "text")
-    rows = map_slices(sample.repartition(8), one, "x array<double>, label int").toArrow()
+    rows = with_ratios(sample.repartition(8), ratio, one, "x array<double>, label int").toArrow()
     x = np.array(rows.column("x").to_pylist(), np.float64).reshape(-1, len(SCALE))
     return Model(ratio, fit_curve(x, rows.column("label").to_numpy()))
 
@@ -241,16 +313,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` plus ``name``: probability of label 1; a column of that name is replaced.
 
-    Whole texts are scored and nothing is shuffled. Null texts and such without letters measure 0.
+    Whole texts are scored; nothing is shuffled unless the model's ratios are joined. Null texts and such without letters measure 0.
     """
     keep = [c for c in docs.columns if c != name]
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    curve = model.curve
 
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        s = [sent.value.score(x) for x in utf8(batch.column(text))]
+    def one(batch: pa.RecordBatch, known: Ratios) -> pa.RecordBatch:
+        s = [on_curve(measures(x, known), curve) for x in utf8(batch.column(text))]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(s, pa.float64())], names=[*keep, name])
 
-    return map_slices(docs.select(*keep), one, T.StructType([*docs.select(*keep).schema.fields, T.StructField(name, T.DoubleType())]))
+    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField(name, T.DoubleType())])
+    return with_ratios(docs.select(*keep), model.ratio, one, schema, text)
 
 
 def op7_kneser_ney_tox(spark: SparkSession, sf_dir: str, threshold: float = 0.3) -> DataFrame:

@@ -194,6 +194,44 @@ def test_ratios_are_kneser_ney(spark, monkeypatch):
     assert not kn.train(docs.limit(0), table).curve[1:].any()
 
 
+def old_bin(text):
+    x = (int.from_bytes(text, "big") + 1) * 0x9E3779B97F4A7C15 % 2**64
+    return (x ^ x >> 32) * 0xD6E8FEB86659FD93 % 2**64 >> 42
+
+
+def test_grams_share_no_ratio(spark, monkeypatch):
+    """A rare toxic word and a frequent ordinary one whose grams met in one of 2 ** 22 bins, and unseen ones that met a filled bin."""
+    rng = random.Random(9)
+    bins, pairs = {}, []
+    while len(pairs) < 3:
+        w = bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(5))
+        if bins.setdefault(old_bin(w), w) != w:
+            pairs.append((w.decode(), bins[old_bin(w)].decode()))
+    rows = [(i, " ".join([a if i % 2 else b] * (1 if i % 2 else 20))) for i in range(60) for a, b in pairs[:1]]
+    rows += [(100 + i, f"{a} filler") for i, (a, _) in enumerate(pairs[1:] * 10)] + [(200, f"{pairs[1][1]} {pairs[2][1]}"), (201, None)]
+    labels = {i: i % 2 if i < 100 else 0 for i, _ in rows if i < 200}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    given = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    model = kn.train(docs, given)
+    curve = {r.doc_id for r in docs.filter(kn.for_curve()).collect()}
+    grams, ratio = plain_ratios([t for _, t in rows], [(t, labels[i]) for i, t in rows if i in labels and i not in curve])
+    for _, text in rows:
+        words, own = [], 0.0
+        for g in grams(text):
+            own += ratio(g)
+            if g[-1] == 32:
+                words, own = [*words, own], 0.0
+        want = [sum(sorted(words, reverse=True)[:k]) / k for k in (1, 3, 6)]
+        assert kn.measures((text or "").encode(), model.ratio)[:3] == pytest.approx(want, abs=1e-4)
+    # the same where there are too many ratios to send
+    want = {r.doc_id: r.score for r in kn.score(docs, model).collect()}
+    monkeypatch.setattr(kn, "MAX_KEYS", 10)
+    monkeypatch.setattr(kn, "CHUNK_ROWS", 7)
+    joined = kn.train(docs, given)
+    assert not isinstance(joined.ratio, kn.Ratios) and joined.curve == pytest.approx(model.curve, abs=1e-6)
+    assert {r.doc_id: r.score for r in kn.score(docs, joined).collect()} == pytest.approx(want, abs=1e-6)
+
+
 def test_curve():
     x = np.array([0, 0.1, 0.2, 5, 6, 7])[:, None] * np.ones(4)
     y = np.array([0, 0, 0, 1, 1, 1])
