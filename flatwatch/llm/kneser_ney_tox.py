@@ -11,9 +11,10 @@ classes alike. Where a four-byte context has evidence, the log ratio of the clas
 and for a byte that neither class has seen after it, the ratio of the two back-off weights. Counting, continuation
 counts and ratios are Spark aggregates over grams. A ratio is kept under its exact gram or context: up to ``MAX_KEYS`` of
 them are sent to tasks as a hash table that grows with their number; more are joined to the distinct grams of chunks of
-documents, so that a task holds a chunk's ratios only. The log ratio of a word is the sum over its bytes. A text is measured by means per word: of its
-most telling word, three words and six words, and of all words, so that neither likelihood grows with the length; a
-logistic curve over these, fitted on a bounded sample of labelled rows that gave no counts, makes the score.
+documents, so that a task holds a chunk's ratios only. The log ratio of a word is the sum over its bytes. A text is
+measured by means per word: of its most telling word, three words and six words, and of all words. The largest of many words are larger by chance, so the log
+number of words is a term too: what is usual for a length counts as nothing. A logistic curve over these, fitted on a
+bounded sample of labelled rows that gave no counts, makes the score.
 """
 
 from __future__ import annotations
@@ -231,8 +232,8 @@ def with_ratios(docs: DataFrame, ratio: Ratios | DataFrame, fn: Callable[[pa.Rec
     return chunks.groupBy("__chunk").cogroup(known.groupBy("__chunk")).applyInArrow(run, schema)
 
 
-def measures(raw: bytes, ratio: Ratios) -> np.ndarray:
-    """Mean log ratios of the most telling words (missing ones count as 0) and, in bounds, of all. No letters: zeros."""
+def word_ratios(raw: bytes, ratio: Ratios) -> np.ndarray:
+    """The log ratio of each word, in order."""
     sums, ends = [], []
     for g in grams(raw):
         r = ratio.find(g)
@@ -240,10 +241,16 @@ def measures(raw: bytes, ratio: Ratios) -> np.ndarray:
         r[none] = np.nan_to_num(ratio.find((g[none] >> np.uint64(8)) + np.uint64(CONTEXT)))
         sums.append(r)
         ends.append((g & np.uint64(255)) == 32)
+    if not sums:
+        return np.empty(0)
+    end = np.flatnonzero(np.concatenate(ends))
+    return np.diff(np.concatenate(([0.0], np.cumsum(np.concatenate(sums))))[np.concatenate(([0], end + 1))])
+
+
+def means(words: np.ndarray) -> np.ndarray:
+    """Mean log ratios of the most telling words (missing ones count as 0) and, in bounds, of all. No words: zeros."""
     out = np.zeros(len(TELLING) + 1)
-    if sums:
-        end = np.flatnonzero(np.concatenate(ends))
-        words = np.diff(np.concatenate(([0.0], np.cumsum(np.concatenate(sums))))[np.concatenate(([0], end + 1))])
+    if len(words):
         most = max(TELLING)
         top = np.zeros(most)
         best = np.partition(words, len(words) - most)[-most:] if len(words) > most else words
@@ -253,18 +260,29 @@ def measures(raw: bytes, ratio: Ratios) -> np.ndarray:
     return out
 
 
+def measures(raw: bytes, ratio: Ratios) -> np.ndarray:
+    """The :func:`means` of a text."""
+    return means(word_ratios(raw, ratio))
+
+
+def terms(raw: bytes, ratio: Ratios) -> np.ndarray:
+    """What the curve is over: the means, scaled, and the log number of words (of 150 words: 0; no words count as one)."""
+    words = word_ratios(raw, ratio)
+    return np.append(means(words) * SCALE, np.log(max(len(words), 1) / 150))
+
+
 #: Brings the measures to one scale for the curve.
 SCALE = np.array([0.4] * len(TELLING) + [4.0])
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 60) -> np.ndarray:
+def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 60, scale: np.ndarray | float = SCALE) -> np.ndarray:
     """Intercept and slopes of a ridge logistic regression. Without both classes: the smoothed share, whatever ``x``."""
     w = np.zeros(x.shape[1] + 1)
     if len(np.unique(y)) < 2:
         share = (y.sum() + 0.5) / (len(y) + 1)
         w[0] = np.log(share / (1 - share))
         return w
-    a = np.c_[np.ones(len(x)), x * SCALE]
+    a = np.c_[np.ones(len(x)), x * scale]
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
         step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w)), a.T @ (p - y) + ridge * w)
@@ -275,7 +293,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 60
 
 
 def on_curve(x: np.ndarray, curve: np.ndarray) -> float:
-    return float(1 / (1 + np.exp(-np.clip(curve[0] + (x * SCALE) @ curve[1:], -30, 30))))
+    return float(1 / (1 + np.exp(-np.clip(curve[0] + x @ curve[1:], -30, 30))))
 
 
 @dataclass
@@ -301,13 +319,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
     ratio = ratio_table(ratios(materialize(counts, "kn-counts")))
 
     def one(batch: pa.RecordBatch, known: Ratios) -> pa.RecordBatch:
-        x = [measures(t, known) for t in utf8(batch.column("text"))]
+        x = [terms(t, known) for t in utf8(batch.column("text"))]
         return pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column("label")], names=["x", "label"])
 
     sample = labelled_sample(plain, known.filter(for_curve()).withColumnRenamed("label", "toxic"), "toxic", curve_sample, "doc_id", "text")
     rows = with_ratios(sample.repartition(8), ratio, one, "x array<double>, label int").toArrow()
-    x = np.array(rows.column("x").to_pylist(), np.float64).reshape(-1, len(SCALE))
-    return Model(ratio, fit_curve(x, rows.column("label").to_numpy()))
+    x = np.array(rows.column("x").to_pylist(), np.float64).reshape(-1, len(SCALE) + 1)
+    return Model(ratio, fit_curve(x, rows.column("label").to_numpy(), scale=1.0))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
@@ -319,7 +337,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     curve = model.curve
 
     def one(batch: pa.RecordBatch, known: Ratios) -> pa.RecordBatch:
-        s = [on_curve(measures(x, known), curve) for x in utf8(batch.column(text))]
+        s = [on_curve(terms(x, known), curve) for x in utf8(batch.column(text))]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(s, pa.float64())], names=[*keep, name])
 
     schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField(name, T.DoubleType())])

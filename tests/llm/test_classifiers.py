@@ -232,6 +232,16 @@ def test_grams_share_no_ratio(spark, monkeypatch):
     assert {r.doc_id: r.score for r in kn.score(docs, joined).collect()} == pytest.approx(want, abs=1e-6)
 
 
+def test_toxicity_does_not_grow_with_length(spark):
+    """Median log odds of ordinary held-out texts, 1,000 words and more against 50 to 200."""
+    sf = "/root/testdata/sf0.1"
+    n = {r.doc_id: r.n for r in spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id", "size(split(text, '\\\\s+')) AS n").collect()}
+    got = {r.doc_id: r.score for r in kn.op7_kneser_ney_tox(spark, sf).filter("held_out").collect()}
+    toxic = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").filter("toxic = 1").collect()}
+    logit = lambda low, high: np.median([math.log(s / (1 - s)) for i, s in got.items() if i not in toxic and low <= n[i] < high])
+    assert logit(1000, 10**9) < logit(50, 200) + 1
+
+
 def test_curve():
     x = np.array([0, 0.1, 0.2, 5, 6, 7])[:, None] * np.ones(4)
     y = np.array([0, 0, 0, 1, 1, 1])
