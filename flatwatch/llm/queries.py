@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flatwatch.llm.best_fit_reduction import op1_best_fit_reduction
+from flatwatch.llm.cutting_stock import op12_cutting_stock
 from flatwatch.llm.kneser_ney_tox import op7_kneser_ney_tox
 from flatwatch.llm.naive_bayes_lang import op9_naive_bayes_lang
 from flatwatch.llm.neighbour_votes import op2_neighbour_votes
@@ -20,6 +21,7 @@ from flatwatch.llm.simhash_ball import op5_simhash_ball
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_reduction, op2_neighbour_votes, op3_rule_ledger, op4_path_templates, op5_simhash_ball,
-        op6_packed_ids, op7_kneser_ney_tox, op8_qgram_decontam, op9_naive_bayes_lang, op10_sentence_spans)}
+        op6_packed_ids, op7_kneser_ney_tox, op8_qgram_decontam, op9_naive_bayes_lang, op10_sentence_spans,
+        op12_cutting_stock)}
 
 ORACLES: dict[str, str] = {"op3_rule_ledger": OP3_SQL}
