@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_sql(spark):
