@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from .functions.html import ClassSpec
+from .functions.markup import ClassSpec
 
 
 @dataclass(frozen=True)
@@ -20,10 +20,8 @@ class SourceConfig:
     title: Selector
     price: Selector | None
     location: Selector | None
-    # The container ends at the first closing tag (True), or its tag nests and depth is counted (False).
-    container_closes: bool = True
-    # Match tag names in any letter case (slower); the portals' markup is lowercase.
-    case_insensitive_tags: bool = False
+    # Tag and attribute names in any letter case, as HTML has them, or exactly as written.
+    case_insensitive_tags: bool = True
     # Several values sharing one class (price, [fee], rooms, area); rooms/area are picked by position.
     spans: Selector | None = None
     area: Selector | None = None
@@ -45,7 +43,6 @@ class SourceConfig:
 PORTAL_A = SourceConfig(
     name="portal_a",
     container=Selector("article", ("css-1rtqihe es62z2j18", "css-e6zjf7 es62z2j18")),
-    container_closes=True,
     title=Selector("h3", "css-1rhznz4 es62z2j13"),
     price=Selector("span", "css-s8wpzb eclomwz2"),
     location=Selector("span", "css-17o293g es62z2j11"),
@@ -64,7 +61,6 @@ PORTAL_A = SourceConfig(
 PORTAL_B = SourceConfig(
     name="portal_b",
     container=Selector("div", ("css-1apmciz",)),
-    container_closes=False,
     title=Selector("h6", "css-v3vynn-Text eu5v0x0"),
     price=Selector("p", "css-wpfvmn-Text eu5v0x0"),
     location=Selector("p", "css-p6wsjo-Text eu5v0x0"),
@@ -86,7 +82,6 @@ SOURCES = (PORTAL_A, PORTAL_B)
 WEB_PAGES = SourceConfig(
     name="web",
     container=Selector("li"),
-    container_closes=True,
     title=Selector("a"),
     price=None,
     location=None,

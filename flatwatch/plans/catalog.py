@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PORTAL_A, PORTAL_B, SOURCES, WEB_PAGES
-from ..functions.html import attribute_of, element_text, find_inner
+from ..functions.html import attribute_in, element_text, find_inner, unescape
+from ..functions.markup import elements, inner, let
 from ..functions.text import int_half_even, number_before_space
 from ..operators.cities import city_positional, with_city
 from ..operators.clean import area_from_spans, parse_price, rooms_from_spans
 from ..operators.enrich import enrich, price_per_area, urgency
-from ..operators.extract import split_containers
+from ..operators.extract import extract_fields, split_containers
 from ..operators.quality import listing_quality, price_status
 from ..operators.skip import skip_leading
 from ..operators.summary import city_summary, city_summary_history, main_city_summary
@@ -30,6 +31,7 @@ from ..sources.cities import grid_to_dictionary, read_city_dictionary
 from ..sources.jdbc import read_jdbc
 from ..sources.pages import missing_pages, page_catalogue, read_pages
 from . import testview as tv
+from .edge_pages import edge_pages, entity_texts
 from .pipeline import ingest
 from .portal_pages import portal_pages
 from .testview import SNAPSHOT_DATE, TEST_KEYWORDS, TEST_MAIN_CITIES, table
@@ -200,8 +202,9 @@ def _page_items(spark, sf) -> DataFrame:
     pages = table(spark, sf, "pages", ["page_id", "url", "html"])
     items = split_containers(pages.withColumn("lang", tv.page_lang(F.col("url"))), WEB_PAGES, ("page_id", "lang"))
     return items.select("page_id", "lang", "pos",
-                        attribute_of(F.col("body"), "a", "href").alias("item_href"),
-                        element_text(find_inner(F.col("body"), "a")).alias("item_text"))
+                        attribute_in(F.col("body"), "a", "href").alias("item_href"),
+                        element_text(let(F.get(elements(F.col("body"), [("a", None)]), 0),
+                                         lambda x: inner(F.col("body"), x))).alias("item_text"))
 
 
 def q_page_items(spark, sf):
@@ -219,6 +222,21 @@ def q_page_title(spark, sf):
     return pages.select("page_id", element_text(find_inner(F.col("html"), "h1")).alias("title"))
 
 
+def q_page_edges(spark, sf):
+    """Posts from markup with nested, quoted, upper-case, unclosed and hidden elements."""
+    pages = edge_pages(spark, sf)
+    keys = ("l_orderkey", "l_linenumber")
+    raw = extract_fields(split_containers(pages, PORTAL_A, keys), PORTAL_A, (*keys, "pos"))
+    texts = raw.select(*keys, "pos", element_text(F.col("title_html")).alias("title"),
+                       F.transform(F.col("spans_html"), lambda x: element_text(x)).alias("spans"))
+    return texts.select(*keys, "pos", "title", F.array_join("spans", "|").alias("spans"),
+                        parse_price(F.get("spans", 0), PORTAL_A).alias("price"))
+
+
+def q_entity_text(spark, sf):
+    return entity_texts(spark, sf).select("l_orderkey", "l_linenumber", unescape(F.col("text")).alias("decoded"))
+
+
 # ---- sources and sinks (SRC-1,2,4,6; SNK-1..3) -----------------------------------------------------------
 
 def _document_catalogue(spark, sf) -> DataFrame:
@@ -372,6 +390,8 @@ QUERIES: dict[str, Query] = {
     "page_items": q_page_items,
     "page_items_skip_promoted": q_page_items_skip_promoted,
     "page_title": q_page_title,
+    "page_edges": q_page_edges,
+    "entity_text": q_entity_text,
     "union_sources": q_union_sources,
     "missing_pages": q_missing_pages,
     "page_catalogue": q_page_catalogue,

@@ -307,3 +307,18 @@ ORACLES["landed_pages"] = """SELECT DISTINCT source, type, l_orderkey AS page,
 ORACLES["price_text_faults"] = """SELECT l_returnflag,
   CASE WHEN l_linenumber = 7 THEN 'missing' WHEN l_discount = 0 THEN 'ask' WHEN l_tax = 0 THEN 'unparseable' ELSE 'ok' END AS status,
   count(*) AS number_of_posts FROM lineitem GROUP BY 1, 2"""
+
+_EDGE = "(l_orderkey + l_linenumber) % 8"
+_QTY = "CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)"
+ORACLES["page_edges"] = f"""SELECT l_orderkey, l_linenumber, pos,
+  CASE WHEN pos = 1 THEN 'Inner ' WHEN {_EDGE} = 7 THEN 'Lot 5 < 6 ' || chr(169) ELSE 'Lot ' END || CAST(l_orderkey AS VARCHAR) AS title,
+  CASE WHEN pos = 1 THEN '1' || {_QTY} || ' zł' WHEN {_EDGE} = 1 THEN '1' || {_QTY} || ' zł|' || {_QTY} || ' zł'
+       WHEN {_EDGE} = 7 THEN {_QTY} || chr(160) || 'zł' ELSE {_QTY} || ' zł' END AS spans,
+  CAST(CASE WHEN {_EDGE} = 1 THEN '1' ELSE '' END || {_QTY} AS DOUBLE) AS price
+FROM lineitem, (SELECT 0 AS pos UNION ALL SELECT 1) p WHERE pos = 0 OR {_EDGE} = 1"""
+_KEY = "CAST(l_orderkey AS VARCHAR)"
+ORACLES["entity_text"] = f"""SELECT l_orderkey, l_linenumber, CASE {_EDGE}
+  WHEN 0 THEN chr(169) || {_KEY} WHEN 1 THEN chr(172) || 'it;' || {_KEY} WHEN 2 THEN chr(189) || {_KEY}
+  WHEN 3 THEN {_KEY} || chr(160) || 'zł' WHEN 4 THEN chr(CAST(l_linenumber AS INTEGER) + 64) || {_KEY}
+  WHEN 5 THEN '&lt;' || {_KEY} || '<x' WHEN 6 THEN chr(8770) || chr(824) || '&nosuch;&' || {_KEY}
+  ELSE chr(193) || 'x=' || chr(243) || '=' || {_KEY} END AS decoded FROM lineitem"""
