@@ -28,13 +28,12 @@ RAW = ("script", "style")
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
 ATTRIBUTE = rf"[^\s/>][^\s/>=]*+(?:\s*+=\s*+{_VALUE}?+)?+"
 _INSIDE = rf"(?:[\s/]++|{ATTRIBUTE})*+"
-_TOKEN = "(?s)(" + "|".join([
-    *(rf"<(?i:{n})(?=[\s/>]){_INSIDE}>.*?</(?i:{n})(?=[\s/>])[^>]*+>" for n in RAW),
-    r"<!--.*?(?:-->|\z)",
-    rf"<[A-Za-z][^\s/>]*+{_INSIDE}>",
-    r"</[A-Za-z][^>]*+>",
-    r"<[!?/][^>]*+>",
-    r"[^<]++|<"]) + ")"
+_TOKEN = r"(?s)([^<]++|<(?:" + "|".join([
+    *(rf"(?i:{n})(?=[\s/>]){_INSIDE}>.*?</(?i:{n})(?=[\s/>])[^>]*+>" for n in RAW),
+    rf"[A-Za-z][^\s/>]*+{_INSIDE}>",
+    r"/[A-Za-z][^>]*+>",
+    r"!--.*?(?:-->|\z)",
+    r"[!?/][^>]*+>"]) + ")?+)"
 
 
 def let(value: Column, fn) -> Column:
@@ -87,8 +86,8 @@ def _tags(ts: Column, selectors: Sequence[tuple[str, ClassSpec]], ci: bool) -> C
 
     def tag(token: Column, at: Column) -> Column:
         closes = token.startswith("</")
-        return F.when(~is_text(token) & token.rlike("^</?[A-Za-z]"), let(tag_name(token, ci), lambda name: F.struct(
-            at.alias("at"), name.alias("name"), closes.alias("closes"),
+        return F.when(~is_text(token) & ~token.startswith("<!") & ~token.startswith("<?"), let(tag_name(token, ci), lambda name: F.struct(
+            at.alias("at"), name.alias("name"), F.concat(name, F.lit("/")).alias("key"), closes.alias("closes"),
             F.when(closes, F.lit(0)).otherwise(matched(token, name)).alias("sel"),
             token.endswith("/>").alias("slash"))))
 
@@ -103,24 +102,34 @@ def elements(ts: Column, selectors: Sequence[tuple[str, ClassSpec]], ci: bool =
     must be a column or lambda variable: it is referred to several times.
     """
     selectors = [(tag.lower() if ci else tag, classes) for tag, classes in selectors]
-    found_type = "array<struct<start:int,end:int,sel:int>>"
-    start = F.struct(F.array().cast("array<string>").alias("names"), F.array().cast("array<struct<at:int,sel:int>>").alias("open"),
-                     F.array().cast(found_type).alias("found"))
+    found_type, open_type = "array<struct<start:int,end:int,sel:int>>", "array<struct<at:int,sel:int,level:int>>"
+
+    def state_of(names: Column, level: Column, open_: Column, found: Column) -> Column:
+        return F.struct(names.alias("names"), level.alias("level"), open_.alias("open"), found.alias("found"))
+
+    # ``names`` are those of all open elements, the innermost first, as a path; ``open`` the matching ones among them.
+    start = state_of(F.lit(""), F.lit(0), F.array().cast(open_type), F.array().cast(found_type))
 
     def step(state: Column, tag: Column) -> Column:
-        def close(n: Column) -> Column:             # the nearest open element of the name is the n-th from the top
-            gone = F.filter(F.slice(state["open"], 1, n), lambda x: x["sel"] != 0)
-            ended = F.transform(gone, lambda x: F.struct(x["at"].alias("start"), tag["at"].alias("end"), x["sel"].alias("sel")))
-            return F.when(n == 0, state).otherwise(F.struct(
-                F.slice(state["names"], n + 1, F.size(state["names"])).alias("names"),
-                F.slice(state["open"], n + 1, F.size(state["open"])).alias("open"),
-                F.when(F.size(gone) == 0, state["found"]).otherwise(F.concat(state["found"], ended)).alias("found")))
-
-        opened = F.struct(
-            F.concat(F.array(tag["name"]), state["names"]).alias("names"),
-            F.concat(F.array(F.struct(tag["at"].alias("at"), tag["sel"].alias("sel"))), state["open"]).alias("open"),
-            state["found"].alias("found"))
-        return F.when(tag["closes"], let(F.array_position(state["names"], tag["name"]).cast("int"), close)).otherwise(opened)
+        names, level, open_, found = (state[c] for c in ("names", "level", "open", "found"))
+
+        def ended(rest: Column, left: Column) -> Column:
+            gone = F.filter(open_, lambda x: x["level"] > left)
+            ranges = F.transform(gone, lambda x: F.struct(x["at"].alias("start"), tag["at"].alias("end"), x["sel"].alias("sel")))
+            return F.when(F.coalesce(F.get(open_, 0)["level"], F.lit(0)) <= left, state_of(rest, left, open_, found)).otherwise(
+                state_of(rest, left, F.filter(open_, lambda x: x["level"] <= left), F.concat(found, ranges)))
+
+        def close(place: Column) -> Column:          # of the nearest open element of the name, in the path
+            over = F.substring(names, F.lit(1), place - 1)
+            return F.when(place == 0, state).otherwise(ended(
+                F.substring(names, place + F.length(tag["key"]), F.length(names)),
+                level - 1 - (F.length(over) - F.length(F.replace(over, F.lit("/"), F.lit(""))))))
+
+        opened = state_of(F.concat(tag["key"], names), level + 1, F.when(tag["sel"] == 0, open_).otherwise(F.concat(
+            F.array(F.struct(tag["at"].alias("at"), tag["sel"].alias("sel"), (level + 1).alias("level"))), open_)), found)
+        innermost = ended(F.substring(names, F.length(tag["key"]) + 1, F.length(names)), level - 1)
+        nearest = let(F.instr(F.concat(F.lit("/"), names), F.concat(F.lit("/"), tag["key"])), close)
+        return F.when(~tag["closes"], opened).when(names.startswith(tag["key"]), innermost).otherwise(nearest)
 
     def walk(tags: Column) -> Column:
         def finish(state: Column) -> Column:
@@ -128,9 +137,11 @@ def elements(ts: Column, selectors: Sequence[tuple[str, ClassSpec]], ci: bool =
                 later = F.filter(tags, lambda t: t["closes"] & (t["at"] > at) & (t["name"] == name))
                 return F.coalesce(F.get(later, 0)["at"], F.size(ts))
 
-            left = F.filter(F.arrays_zip(state["open"], state["names"]), lambda x: x["open"]["sel"] != 0)
-            return F.array_sort(F.concat(state["found"], F.transform(left, lambda x: F.struct(
-                x["open"]["at"].alias("start"), end(x["open"]["at"], x["names"]).alias("end"), x["open"]["sel"].alias("sel")))))
+            def unclosed(x: Column) -> Column:
+                own = F.get(F.filter(tags, lambda t: t["at"] == x["at"]), 0)["name"]
+                return F.struct(x["at"].alias("start"), let(own, lambda n: end(x["at"], n)).alias("end"), x["sel"].alias("sel"))
+
+            return F.array_sort(F.concat(state["found"], F.transform(state["open"], unclosed)))
 
         return F.aggregate(tags, start, step, finish)
 
@@ -157,5 +168,5 @@ SEAM = "\u0000"
 
 
 def text_pieces(markup: Column) -> Column:
-    """The text of markup, with ``SEAM`` where tags stood (``unescaper`` drops it)."""
+    """The text of markup (a column or lambda variable), with ``SEAM`` where tags stood; ``unescaper`` drops it."""
     return F.when(markup.contains("<"), F.array_join(F.filter(tokens(markup), is_text), SEAM)).otherwise(markup)
