@@ -36,7 +36,7 @@ from flatwatch.session import materialize
 PIECES = "piece_bpe_32k.model"
 
 #: Characters of a part, bytes of a fragment, fragments that a task composes, bytes and texts of a chunk.
-PART, RANGE, FAN, CHUNK, CHUNK_ROWS = 1 << 16, 1 << 16, 32, 1 << 21, 4096
+PART, RANGE, FAN, CHUNK, CHUNK_ROWS = 1 << 16, 1 << 16, 32, 1 << 20, 4096
 
 Ids = np.ndarray
 
