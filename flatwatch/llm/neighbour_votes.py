@@ -25,6 +25,9 @@ TERMS = CHARS + CLASSES + SHARES
 BLOCK = 1 << 20
 SAMPLE = 4000
 
+#: Neighbours that vote.
+NEIGHBOURS = 15
+
 
 def byte_classes() -> np.ndarray:
     """0 white space, 1 a-z, 2 A-Z, 3 digits, 4 beyond ASCII, 5 common marks, 7 exclamation marks, 6 other."""
@@ -100,8 +103,7 @@ class Voters:
         return np.clip(np.where(total > 0, votes / np.where(total > 0, total, 1), self.labels.mean()), 0, 1)
 
 
-def fit(counts: np.ndarray, labels: np.ndarray, dims: int = 32, k: int | None = None) -> Voters:
-    k = k or min(15, max(3, len(counts) // 20))
+def fit(counts: np.ndarray, labels: np.ndarray, dims: int = 32, k: int = NEIGHBOURS) -> Voters:
     df = (counts[:, :-SHARES] > 0).sum(axis=0)
     idf = (np.log((1 + len(counts)) / (1 + df)) + 1).astype(np.float32)
     if not len(counts):
@@ -125,11 +127,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int,
             .select("text", F.col("__label").alias("label")))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, dims: int = 32, k: int | None = None,
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, dims: int = 32, k: int = NEIGHBOURS,
           doc_id: str = "doc_id", text: str = "text") -> Voters:
     """Voters from a bounded sample of the labelled rows. Without any label every score is one half.
 
-    ``k``: the neighbours that vote, by default one for 20 labelled rows, 3 at least and 15 at most.
+    ``k``: the neighbours that vote, at every size of the sample (all of a smaller one).
     """
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
