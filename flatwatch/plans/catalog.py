@@ -6,6 +6,7 @@ Column names equal those of the matching SQL in ``oracles.py``.
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Callable
 
@@ -23,8 +24,9 @@ from ..operators.extract import extract_fields, split_containers
 from ..operators.quality import listing_quality, price_status
 from ..operators.skip import skip_leading
 from ..operators.summary import city_summary, city_summary_history, main_city_summary
+from ..operators.summary_state import STATE, merge_snapshot, merged, summary_of
 from ..operators.union import union_by_name
-from ..schema import LISTING_BASE
+from ..schema import LISTING_BASE, SUMMARY_COLUMNS
 from ..session import materialize, scratch_path
 from ..sinks.snapshot import read_snapshot, write_jdbc, write_snapshot
 from ..sources.cities import grid_to_dictionary, read_city_dictionary
@@ -237,6 +239,30 @@ def q_entity_text(spark, sf):
     return entity_texts(spark, sf).select("l_orderkey", "l_linenumber", unescape(F.col("text")).alias("decoded"))
 
 
+# ---- stored summary state (AGG-2, AGG-7) -----------------------------------------------------------------
+
+def _merged_state(spark, sf) -> str:
+    """State of the whole history, then of the dates whose late pages (line items 5 and up) came after it."""
+    listings = _enriched(spark, sf)
+    late = F.col("post_rooms") >= 5
+    path = scratch_path(spark, "summary-state")
+    merge_snapshot(listings.filter(~F.coalesce(late, F.lit(False))), path)
+    dates = listings.filter(late).select("download_date").distinct()
+    merge_snapshot(listings.join(dates, "download_date", "left_semi"), path)
+    return path
+
+
+def q_city_summary_merged(spark, sf):
+    """The summary of every date from the stored states, of which late dates were replaced."""
+    return summary_of(read_snapshot(spark, _merged_state(spark, sf), schema=STATE)).select(*SUMMARY_COLUMNS)
+
+
+def q_city_summary_all_time(spark, sf):
+    """Per city and type over all dates: states merged, no listing read again."""
+    state = read_snapshot(spark, _merged_state(spark, sf), schema=STATE)
+    return summary_of(merged(state, ("post_city", "type"))).drop("download_date")
+
+
 # ---- sources and sinks (SRC-1,2,4,6; SNK-1..3) -----------------------------------------------------------
 
 def _document_catalogue(spark, sf) -> DataFrame:
@@ -299,6 +325,9 @@ def q_jdbc_city_summary(spark, sf):
     return city_summary(stored, SNAPSHOT_DATE)
 
 
+SNAPSHOT_MONTH = datetime.date(1995, 3, 1)
+
+
 def q_snapshot_rewrite(spark, sf):
     od = table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus"])
     snap = od.select("o_orderkey", "o_custkey", "o_totalprice",
@@ -307,8 +336,13 @@ def q_snapshot_rewrite(spark, sf):
                      F.when(F.col("o_orderstatus") == "O", "rent").when(F.col("o_orderstatus") == "F", "sell")
                      .otherwise("room").alias("type"))
     path = scratch_path(spark, "snapshot")
-    write_snapshot(snap, path)
-    write_snapshot(snap, path)       # a retried run: replaces the same partitions, no second copy
+    # a first run with rows that the second one doesn't have, in partitions that it has and in one that it hasn't
+    stale = snap.select(*[F.lit(-1).cast(snap.schema[c].dataType).alias(c) if c == "o_orderkey" else F.col(c) for c in snap.columns])
+    for day in (SNAPSHOT_MONTH, None):
+        one = snap if day is None else snap.filter(F.col("download_date") == F.lit(day))
+        more = stale if day is None else stale.filter(F.col("download_date") == F.lit(day)).withColumn("type", F.lit("old"))
+        write_snapshot(one.unionByName(more), path, snapshot_date=day)
+        write_snapshot(one, path, snapshot_date=day)      # the retried run
     return read_snapshot(spark, path).select("o_orderkey", "o_custkey", "o_totalprice", "download_date", "source",
                                              "type")
 
@@ -398,6 +432,8 @@ QUERIES: dict[str, Query] = {
     "city_dictionary": q_city_dictionary,
     "jdbc_round_trip": q_jdbc_round_trip,
     "jdbc_city_summary": q_jdbc_city_summary,
+    "city_summary_merged": q_city_summary_merged,
+    "city_summary_all_time": q_city_summary_all_time,
     "snapshot_rewrite": q_snapshot_rewrite,
     "snapshot_city_summary": q_snapshot_city_summary,
     "stored_city_summary": q_stored_city_summary,

@@ -322,3 +322,13 @@ ORACLES["entity_text"] = f"""SELECT l_orderkey, l_linenumber, CASE {_EDGE}
   WHEN 3 THEN {_KEY} || chr(160) || 'zł' WHEN 4 THEN chr(CAST(l_linenumber AS INTEGER) + 64) || {_KEY}
   WHEN 5 THEN '&lt;' || {_KEY} || '<x' WHEN 6 THEN chr(8770) || chr(824) || '&nosuch;&' || {_KEY}
   ELSE chr(193) || 'x=' || chr(243) || '=' || {_KEY} END AS decoded FROM lineitem"""
+
+_EXACT = ", ".join(
+    f"round(CAST(sum(CAST({c} AS DECIMAL(28, 10))) AS DOUBLE) / count({c}), 0) AS {a}" + "".join(
+        f", {f}({c}) AS {f}_{b}" for f in ("min", "max") if b)
+    for c, a, b in (("post_price", "avg_price", "price"), ("post_rooms", "avg_rooms", ""),
+                    ("post_sqmetrage", "avg_sqmetrage", "sqmetrage"), ("price_per_sqm", "avg_price_sqm", "price_sqm")))
+ORACLES["city_summary_merged"] = f"""SELECT post_city, type, {_EXACT}, count(*) AS number_of_posts, download_date
+FROM ({ENR}) e GROUP BY post_city, type, download_date"""
+ORACLES["city_summary_all_time"] = f"""SELECT post_city, type, {_EXACT}, count(*) AS number_of_posts
+FROM ({ENR}) e GROUP BY post_city, type"""

@@ -1,0 +1,132 @@
+"""Published snapshots: interrupted and competing writes, foreign dates, clean-up; mergeable summary states."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from flatwatch.operators.summary import city_summary_history, summarize
+from flatwatch.operators.summary_state import STATE, merge_snapshot, merged, summary_of, summary_state
+from flatwatch.plans.pipeline import session_date
+from flatwatch.schema import LISTING, SUMMARY_COLUMNS
+from flatwatch.sinks import snapshot
+from flatwatch.sinks.snapshot import read_snapshot, vacuum, write_snapshot
+
+D1, D2 = dt.date(2024, 3, 4), dt.date(2024, 3, 5)
+SCHEMA = "v int, source string, type string, download_date date"
+
+
+def rows(spark, *values, day=D1, kind="rent"):
+    return spark.createDataFrame([(v, "a", kind, day) for v in values], SCHEMA)
+
+
+def values(spark, path, day=None):
+    return sorted(r.v for r in read_snapshot(spark, path, day).collect())
+
+
+def test_a_write_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    write_snapshot(rows(spark, 1, 2), path, snapshot_date=D1)
+
+    def dies(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(snapshot._Store, "create", dies)                 # after the data, before the manifest
+        with pytest.raises(RuntimeError):
+            write_snapshot(rows(spark, 9), path, snapshot_date=D1)
+    assert values(spark, path) == [1, 2]
+    broken = rows(spark, 9, 8, 7).withColumn("v", F.when(F.col("v") == 7, F.raise_error(F.lit("task lost")).cast("int")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="task lost"):
+        write_snapshot(broken, path, snapshot_date=D1)
+    assert values(spark, path) == [1, 2]
+    assert len(vacuum(spark, path)) >= 1 and values(spark, path) == [1, 2]
+
+
+def test_rows_of_another_date_fail(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for day in (D2, None):
+        with pytest.raises(Exception, match="a row is not of 2024-03-04"):
+            write_snapshot(rows(spark, 1).unionByName(rows(spark, 2, day=day)), path, snapshot_date=D1)
+    with pytest.raises(ValueError):
+        read_snapshot(spark, path)
+
+
+def test_two_writers_both_publish(spark, tmp_path, monkeypatch):
+    path, real, met = str(tmp_path / "t"), snapshot._Store.create, []
+
+    def create(store, name, text):
+        if not met:                                               # another job publishes just before
+            met.append(1)
+            write_snapshot(rows(spark, 5, day=D2), path, snapshot_date=D2)
+        return real(store, name, text)
+
+    monkeypatch.setattr(snapshot._Store, "create", create)
+    write_snapshot(rows(spark, 1), path, snapshot_date=D1)
+    assert values(spark, path) == [1, 5] and values(spark, path, D2) == [5]
+
+
+def test_versions_and_vacuum(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_snapshot(rows(spark, 1), path, snapshot_date=D1)
+    write_snapshot(rows(spark, 2, kind="sell"), path, snapshot_date=D1)      # the rent folder goes with its date
+    assert values(spark, path) == [2]
+    assert [r.v for r in read_snapshot(spark, path, version=1).collect()] == [1]
+    assert len(vacuum(spark, path)) == 1 and values(spark, path) == [2]
+    write_snapshot(rows(spark, 3, kind="room"), path)                        # by partition: the other stays
+    assert values(spark, path) == [2, 3]
+
+
+def listing(rng, i, day):
+    price = rng.choice([None, 0.1, 0.2, 0.3, 1e9 + 0.5, 2.5, 3.5, 1234.56])
+    return (f"t{i}", price, rng.choice(["A", "B", None]), rng.choice([None, 1.0, 49.5]), rng.choice([None, 1, 2]), "<30", "normal",
+            rng.choice([None, 1 / 3, 2 / 7]), day, rng.choice(["rent", "sell"]), "portal_a")
+
+
+def frame(spark, data):
+    names = ["post_title", "post_price", "post_city", "post_sqmetrage", "post_rooms", "sqm_bucket", "urgency", "price_per_sqm",
+             "download_date", "type", "source"]
+    schema = {f.name: f for f in LISTING.fields}
+    return spark.createDataFrame([tuple(dict(zip(names, r))[c] for c in schema) for r in data], LISTING)
+
+
+def test_states_in_any_order_of_arrival(spark, tmp_path):
+    rng = random.Random(5)
+    data = [listing(rng, i, D1 if i % 3 else D2) for i in range(200)]
+    whole = frame(spark, data)
+    want = sorted(map(str, summary_of(summary_state(whole)).select(*SUMMARY_COLUMNS).collect()))
+    plain = {(r.post_city, r.type, r.download_date): (r.number_of_posts, r.min_price, r.max_price, r.avg_rooms)
+             for r in city_summary_history(whole).collect()}
+    for turn, order in enumerate(((D1, D2), (D2, D1), (D1, D2, D1))):
+        path = str(tmp_path / f"s{turn}")
+        for n, day in enumerate(order):
+            of_day = [r for r in data if r[8] == day]
+            if len(order) == 3 and n == 0:
+                of_day = of_day[:50]                              # the rest of the date comes late
+            rng.shuffle(of_day)
+            merge_snapshot(frame(spark, of_day).repartition(1 + turn * 2), path, day)
+        state = read_snapshot(spark, path, schema=STATE)
+        got = summary_of(state).select(*SUMMARY_COLUMNS).collect()
+        assert sorted(map(str, got)) == want
+        assert {(r.post_city, r.type, r.download_date): (r.number_of_posts, r.min_price, r.max_price, r.avg_rooms) for r in got} == plain
+        both = {(r.post_city, r.type): r.number_of_posts for r in summary_of(merged(state, ("post_city", "type"))).collect()}
+        assert both == {(r.post_city, r.type): r.number_of_posts for r in summarize(whole, ("post_city", "type")).collect()}
+
+
+def test_mean_at_a_tie_is_the_same_for_every_order(spark):
+    """Floating sums of these differ by their order; exact ones do not."""
+    prices = [0.1] * 10 + [1e15 + 0.5, -1e15] + [0.5] * 5 + [1.0] * 4 + [0.0] * 2
+    exact = sum(map(lambda p: int(round(p * 10)), [0.1] * 10 + [0.5] * 6 + [1.0] * 4)) / 10
+    found = set()
+    for seed in range(6):
+        data = [(p, "x", "rent", D1) for p in random.Random(seed).sample(prices, len(prices))]
+        df = spark.createDataFrame(data, "post_price double, post_city string, type string, download_date date").repartition(1 + seed)
+        df = df.select("*", *[F.lit(None).cast("double").alias(c) for c in ("post_rooms", "post_sqmetrage", "price_per_sqm")])
+        found.add(summary_state(df).select("sum_price").first()[0])
+    assert {float(x) for x in found} == {exact}
+
+
+def test_session_date(spark):
+    assert session_date(spark, "2024-03-04") == D1 and session_date(spark, D1) == D1
+    assert session_date(spark) == spark.sql("select current_date()").first()[0]
