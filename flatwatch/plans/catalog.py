@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PORTAL_A, PORTAL_B, SOURCES, WEB_PAGES
+from ..functions.charset import encode_single_byte
 from ..functions.html import attribute_in, element_text, find_inner, unescape
 from ..functions.markup import elements, inner, let
 from ..functions.text import int_half_even, number_before_space
@@ -31,7 +32,7 @@ from ..session import materialize, scratch_path
 from ..sinks.snapshot import read_snapshot, write_jdbc, write_snapshot
 from ..sources.cities import grid_to_dictionary, read_city_dictionary
 from ..sources.jdbc import read_jdbc
-from ..sources.pages import missing_pages, page_catalogue, read_pages
+from ..sources.pages import missing_pages, page_catalogue, read_page_bytes, read_pages
 from . import testview as tv
 from .edge_pages import edge_pages, entity_texts
 from .pipeline import ingest
@@ -386,6 +387,36 @@ def q_landed_pages(spark, sf):
     return _landed(spark, sf).select("source", "type", "page", "url", F.substring("html", 1, 15).alias("doctype"))
 
 
+def _as_pages(pages: DataFrame, *more) -> DataFrame:
+    """The given ``pages`` table in the PAGE schema, with ``more`` columns instead of html."""
+    return pages.select(F.lit("web").alias("source"), F.coalesce(tv.page_lang(F.col("url")), F.lit("none")).alias("type"),
+                        F.col("page_id").alias("page"), "url", *more)
+
+
+def q_landed_page_bodies(spark, sf):
+    """Whole bodies of pages landed by source and type."""
+    path = scratch_path(spark, "landed-bodies")
+    _as_pages(table(spark, sf, "pages", ["page_id", "url", "html"]), "html").write.partitionBy("source", "type").parquet(path)
+    return read_pages(spark, path).select("source", "page", "url", F.length("html").alias("html_chars"), F.md5("html").alias("html_md5"))
+
+
+def q_html_files(spark, sf):
+    """Whole bodies of pages that come as bytes: UTF-8 (plain and with a byte order mark), ISO-8859-2 named in the page,
+    windows-1250 named by the header."""
+    body = F.regexp_replace("html", r"[^\x00-\x7F]", "ł")            # letters that all three encodings have
+    kind = F.pmod("page_id", F.lit(4))
+    named = F.concat(F.lit("<meta charset='iso-8859-2'>Zażółć "), body)
+    content = (F.when(kind == 0, F.encode(F.concat(F.lit("Zażółć "), body), "UTF-8"))
+               .when(kind == 1, encode_single_byte(named, "iso-8859-2"))
+               .when(kind == 2, encode_single_byte(F.concat(F.lit("Zażółć "), body), "windows-1250"))
+               .otherwise(F.encode(F.concat(F.lit("\ufeffZażółć "), body), "UTF-8")))
+    header = F.when(kind == 2, "text/html; charset=windows-1250")
+    path = scratch_path(spark, "landed-bytes")
+    _as_pages(table(spark, sf, "pages", ["page_id", "url", "html"]), content.alias("content"), header.alias("header")).write.parquet(path)
+    return read_page_bytes(spark.read.parquet(path)).select(
+        "page", F.length("html").alias("html_chars"), F.md5("html").alias("html_md5"))
+
+
 # ---- the whole job on rendered portal pages (EXT-1..11, CLN-*, PRJ-*, SET-1, AGG-6) ------------------------
 
 def q_portal_ingest(spark, sf):
@@ -439,6 +470,8 @@ QUERIES: dict[str, Query] = {
     "stored_city_summary": q_stored_city_summary,
     "stored_main_city_summary": q_stored_main_city_summary,
     "landed_pages": q_landed_pages,
+    "landed_page_bodies": q_landed_page_bodies,
+    "html_files": q_html_files,
     "portal_ingest": q_portal_ingest,
     "portal_ingest_summary": q_portal_ingest_summary,
 }

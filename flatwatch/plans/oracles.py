@@ -332,3 +332,8 @@ ORACLES["city_summary_merged"] = f"""SELECT post_city, type, {_EXACT}, count(*)
 FROM ({ENR}) e GROUP BY post_city, type, download_date"""
 ORACLES["city_summary_all_time"] = f"""SELECT post_city, type, {_EXACT}, count(*) AS number_of_posts
 FROM ({ENR}) e GROUP BY post_city, type"""
+
+ORACLES["landed_page_bodies"] = """SELECT 'web' AS source, page_id AS page, url, length(html) AS html_chars, md5(html) AS html_md5 FROM pages"""
+ORACLES["html_files"] = """SELECT page_id AS page, length(t) AS html_chars, md5(t) AS html_md5 FROM (SELECT page_id,
+  CASE WHEN page_id % 4 = 1 THEN '<meta charset=''iso-8859-2''>' ELSE '' END || 'Zażółć ' ||
+  regexp_replace(html, '[^\\x00-\\x7F]', 'ł', 'g') AS t FROM pages) p"""
