@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SourceConfig
-from .clean import clean_price_text, parse_price
+from .clean import FAULTS, clean_price_text, parse_price
 
 
 def listing_quality(listings: DataFrame, keys: Sequence[str] = ("download_date", "source", "type")) -> DataFrame:
@@ -28,3 +28,16 @@ def price_status(text: Column, cfg: SourceConfig) -> Column:
     """Why a price text has no value: 'missing' element, the portal's 'ask' text, or 'unparseable'; 'ok' if it has one."""
     asks = clean_price_text(text, cfg.price_replacements, ()).isin(*cfg.price_sentinels) if cfg.price_sentinels else F.lit(False)
     return (F.when(text.isNull(), "missing").when(asks, "ask").when(parse_price(text, cfg).isNull(), "unparseable").otherwise("ok"))
+
+
+def quarantined(posts: DataFrame) -> DataFrame:
+    """Posts of ``clean_posts(with_faults=True)`` that have a fault, with their texts as found."""
+    return posts.filter(F.col("faults") != 0).select("source", "type", "page", "pos", "faults", "texts.*")
+
+
+def fault_counts(quarantine: DataFrame, keys: Sequence[str] = ("source", "type")) -> DataFrame:
+    """Posts per key and fault; a post with several faults counts for each. Partial aggregation on the bits."""
+    each = F.explode(F.filter(F.array(*[F.when(F.getbit("faults", F.lit(i)) == 1, F.lit(name)) for i, name in enumerate(FAULTS)]),
+                              lambda x: x.isNotNull()))
+    per_bits = quarantine.groupBy(*keys, "faults").agg(F.count(F.lit(1)).alias("n"))
+    return per_bits.select(*keys, each.alias("fault"), "n").groupBy(*keys, "fault").agg(F.sum("n").alias("number_of_posts"))

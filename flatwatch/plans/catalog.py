@@ -17,12 +17,12 @@ from ..config import PORTAL_A, PORTAL_B, SOURCES, WEB_PAGES
 from ..functions.charset import encode_single_byte
 from ..functions.html import attribute_in, element_text, find_inner, unescape
 from ..functions.markup import elements, inner, let
-from ..functions.text import int_half_even, number_before_space
+from ..functions.text import int_half_even, nfkd, number_before_space
 from ..operators.cities import city_positional, with_city
 from ..operators.clean import area_from_spans, parse_price, rooms_from_spans
 from ..operators.enrich import enrich, price_per_area, urgency
 from ..operators.extract import extract_fields, split_containers
-from ..operators.quality import listing_quality, price_status
+from ..operators.quality import fault_counts, listing_quality, price_status, quarantined
 from ..operators.skip import skip_leading
 from ..operators.summary import city_summary, city_summary_history, main_city_summary
 from ..operators.summary_state import STATE, merge_snapshot, merged, summary_of
@@ -199,6 +199,14 @@ def q_city_positional(spark, sf):
     return places.select("c_custkey", "location_text", city_positional(F.col("location_text")).alias("post_city"))
 
 
+def q_nfkd_text(spark, sf):
+    """Full NFKD of line-item keys in full-width digits, with a ligature, an accent, a thin space and Hangul."""
+    li = table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber"])
+    wide = F.translate(F.col("l_orderkey").cast("string"), "0123456789", "".join(chr(0xFF10 + i) for i in range(10)))
+    text = F.concat(wide, F.lit("\u2009\ufb01 \u0119 \u212b \uac00"), F.col("l_linenumber").cast("string"))
+    return li.withColumn("text", text).select("l_orderkey", "l_linenumber", nfkd(F.col("text")).alias("normal"))
+
+
 # ---- page extraction (EXT-1..4) --------------------------------------------------------------------------
 
 def _page_items(spark, sf) -> DataFrame:
@@ -429,6 +437,17 @@ def q_portal_ingest_summary(spark, sf):
     return city_summary(q_portal_ingest(spark, sf), SNAPSHOT_DATE)
 
 
+def q_quarantine_reasons(spark, sf):
+    """Posts of the rendered pages that lack a value, stored with their texts by the run's own pass, counted by reason."""
+    path = scratch_path(spark, "quarantine")
+
+    def store(posts):
+        write_snapshot(quarantined(posts).withColumn("download_date", F.lit(SNAPSHOT_DATE).cast("date")), path, snapshot_date=SNAPSHOT_DATE)
+
+    ingest(_landed(spark, sf), SOURCES, grid_to_dictionary(tv.dictionary_grid(spark, sf)), SNAPSHOT_DATE, quarantine=store)
+    return fault_counts(read_snapshot(spark, path, SNAPSHOT_DATE))
+
+
 QUERIES: dict[str, Query] = {
     "city_summary": q_city_summary,
     "city_summary_history": q_city_summary_history,
@@ -452,6 +471,7 @@ QUERIES: dict[str, Query] = {
     "rooms_first_char": q_rooms_first_char,
     "area_prefix": q_area_prefix,
     "area_round_half_even": q_area_round_half_even,
+    "nfkd_text": q_nfkd_text,
     "page_items": q_page_items,
     "page_items_skip_promoted": q_page_items_skip_promoted,
     "page_title": q_page_title,
@@ -474,4 +494,5 @@ QUERIES: dict[str, Query] = {
     "html_files": q_html_files,
     "portal_ingest": q_portal_ingest,
     "portal_ingest_summary": q_portal_ingest_summary,
+    "quarantine_reasons": q_quarantine_reasons,
 }

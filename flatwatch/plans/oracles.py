@@ -337,3 +337,16 @@ ORACLES["landed_page_bodies"] = """SELECT 'web' AS source, page_id AS page, url,
 ORACLES["html_files"] = """SELECT page_id AS page, length(t) AS html_chars, md5(t) AS html_md5 FROM (SELECT page_id,
   CASE WHEN page_id % 4 = 1 THEN '<meta charset=''iso-8859-2''>' ELSE '' END || 'Zażółć ' ||
   regexp_replace(html, '[^\\x00-\\x7F]', 'ł', 'g') AS t FROM pages) p"""
+
+_FAULTS = (("price_unreadable", "CASE WHEN source = 'portal_a' THEN l_discount <> 0 AND l_tax = 0 ELSE l_discount = 0 END"),
+           ("city_unknown", "source = 'portal_a' AND c_acctbal < 0"),
+           ("area_missing", "source = 'portal_b' AND type <> 'room' AND l_linenumber = 7"),
+           ("area_unreadable", "source = 'portal_a' AND least(l_linenumber, 5) IN (3, 4) AND l_returnflag = 'A'"))
+ORACLES["quarantine_reasons"] = "WITH base AS (" + _PORTAL_BASE + """), ranked AS (SELECT *, row_number() OVER (PARTITION BY source, type
+  ORDER BY l_orderkey, l_linenumber, l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) AS rn FROM base),
+kept AS (SELECT * FROM ranked WHERE source = 'portal_b' OR rn > 3)
+""" + " UNION ALL ".join(f"SELECT source, type, '{name}' AS fault, count(*) AS number_of_posts FROM kept WHERE {cond} GROUP BY source, type"
+                         for name, cond in _FAULTS)
+
+ORACLES["nfkd_text"] = """SELECT l_orderkey, l_linenumber, CAST(l_orderkey AS VARCHAR) || ' fi e' || chr(808) || ' A' || chr(778) || ' '
+  || chr(4352) || chr(4449) || CAST(l_linenumber AS VARCHAR) AS normal FROM lineitem"""
