@@ -4,7 +4,9 @@ Texts and benchmark items are lower-cased and runs of white space become one spa
 where a substring of the text is within k = floor(``edit_rate`` * m) edits of it. Such a place shares at least
 m - q + 1 - k q of the item's character q-grams, on diagonals (text offset - item offset) that differ by at most k, so
 it lies whole in one of the overlapping bands of 2 (k + 1) diagonals. Bands with that many shared q-grams are kept and
-verified by alignment inside the band; no place within the budget is lost, and none beyond it is reported.
+verified by alignment inside the band; no place within the budget is lost, and none beyond it is reported. Short items
+take a smaller q, so that the lemma asks for one q-gram at least; under 10 characters there is no edit to allow at 10 %,
+and an item shorter than q is its own q-gram.
 """
 
 from __future__ import annotations
@@ -68,9 +70,14 @@ def gram_hashes(x: np.ndarray, q: int) -> np.ndarray:
     return total ^ (total >> np.uint64(32))
 
 
-def budget(m: int, q: int, edit_rate: float) -> int:
-    """Edits allowed for an item of ``m`` characters; never so many that the lemma asks for no q-gram at all."""
-    return min(int(edit_rate * m), (m - q) // q)
+def budget(m: int, edit_rate: float) -> int:
+    """Edits allowed for an item of ``m`` characters."""
+    return int(edit_rate * m + 1e-9)
+
+
+def gram_size(m: int, q: int, edit_rate: float) -> int:
+    """The largest q-gram up to ``q`` of which the lemma still asks for one: m - q + 1 - k q >= 1."""
+    return max(1, min(q, m // (budget(m, edit_rate) + 1)))
 
 
 def aligned(item: np.ndarray, window: np.ndarray, low: int, high: int, k: int) -> tuple[int, int, int] | None:
@@ -102,23 +109,13 @@ def aligned(item: np.ndarray, window: np.ndarray, low: int, high: int, k: int) -
     return int(least // scale), int(least % scale), int(end[at])
 
 
-class Index:
-    """q-grams of a bounded list of (id, text) items, and the search of one text."""
+class Grams:
+    """q-grams of items that take the same q, and the regions of a text that share enough of them."""
 
-    def __init__(self, items: list[tuple], q: int, edit_rate: float):
-        self.q = q
-        self.ids, self.items, self.strings, self.need, self.k = [], [], [], [], []
-        for item_id, text in items:
-            norm = normalize(text or "")
-            x = codes(norm)
-            if len(x) < q:
-                continue
-            k = budget(len(x), q, edit_rate)
-            self.ids.append(item_id)
-            self.items.append(x)
-            self.strings.append(norm)
-            self.k.append(k)
-            self.need.append(len(x) - q + 1 - k * q)
+    def __init__(self, items: list[np.ndarray], q: int, edit_rate: float):
+        self.q, self.items = q, items
+        self.k = [budget(len(x), edit_rate) for x in items]
+        self.need = [len(x) - q + 1 - k * q for x, k in zip(items, self.k)]
         grams = [gram_hashes(x, q) for x in self.items]
         hashes = np.concatenate(grams) if grams else np.empty(0, np.uint64)
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
@@ -176,22 +173,37 @@ class Index:
                 out.append((o, low, high))
         return out
 
+
+class Index:
+    """A bounded list of (id, text) items, and the search of one text. Null and empty items are left out."""
+
+    def __init__(self, items: list[tuple], q: int, edit_rate: float):
+        kept = [(i, n) for i, n in ((i, normalize(t or "")) for i, t in items) if n]
+        self.ids, self.strings = [i for i, _ in kept], [n for _, n in kept]
+        self.items = [codes(n) for n in self.strings]
+        sizes = [gram_size(len(x), q, edit_rate) for x in self.items]
+        self.parts = []                              # (numbers of the items, their q-grams), the longest q first
+        for size in sorted(set(sizes), reverse=True):
+            of = [n for n, s in enumerate(sizes) if s == size]
+            self.parts.append((of, Grams([self.items[n] for n in of], size, edit_rate)))
+
     def search(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item, start, end, edits) in characters of the normalised text; the best place of each kept region."""
         norm = normalize(text)
         x = codes(norm)
         out = []
-        for item, low, high in self.bands(x):
-            k, m = int(self.k[item]), len(self.items[item])
-            exact = norm.find(self.strings[item], max(0, low), max(0, high + m))
-            if exact >= 0:
-                out.append((item, exact, exact + m, 0))
-                continue
-            start = max(0, low - k)
-            window = x[start:high + k + m]
-            hit = aligned(self.items[item], window, low - start, high - start, k)
-            if hit:
-                out.append((item, start + hit[1], start + hit[2], hit[0]))
+        for of, grams in self.parts:
+            for n, low, high in grams.bands(x):
+                item, k, m = of[n], int(grams.k[n]), len(grams.items[n])
+                exact = norm.find(self.strings[item], max(0, low), max(0, high + m))
+                if exact >= 0:
+                    out.append((item, exact, exact + m, 0))
+                    continue
+                start = max(0, low - k)
+                window = x[start:high + k + m]
+                hit = aligned(self.items[item], window, low - start, high - start, k)
+                if hit:
+                    out.append((item, start + hit[1], start + hit[2], hit[0]))
         return out
 
 
@@ -210,8 +222,9 @@ def contaminated(docs: DataFrame, items: DataFrame, q: int = 8, edit_rate: float
     """(doc_id, item_id, start, end, edits): where a benchmark item stands in a text, in characters of that text.
 
     One row for each region of a text that holds an item within its edit budget (regions closer than the budget are
-    one). Null texts and null items hold nothing; items of fewer than ``q`` characters match nothing; repeated rows
-    and repeated items report each. Empty tables give no rows. Each block of items reads the texts once.
+    one). Null texts and null or empty items hold nothing; an item of any other length is searched, short ones with a
+    smaller q, so leave out answers of a few characters that would stand in every text. Repeated rows and repeated items
+    report each. Empty tables give no rows. Each block of items reads the texts once.
     """
     kind, item_kind = docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType
     schema = f"doc_id {kind}, item_id {item_kind.simpleString()}, start int, end int, edits int"

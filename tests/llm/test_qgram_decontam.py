@@ -53,9 +53,9 @@ def test_every_place_within_the_budget_and_none_beyond(spark):
     for i, t in docs:
         for j, s in items:
             s = qd.normalize(s or "")
-            if len(s) >= 8:
+            if s:
                 d = distance(s, qd.normalize(t or ""))
-                if d <= qd.budget(len(s), 8, 0.1):
+                if d <= len(s) // 10:
                     want.setdefault((i, j), []).append(d)
     assert {(r.doc_id, r.item_id) for r in got} == set(want) and len(want) > 30
     best = {}
@@ -104,3 +104,30 @@ def test_repetitive_and_long_text():
     hits = index.search(text)
     assert hits and all(h[3] == 0 for h in hits)
     assert index.search("spam egg " * 3) == []
+
+
+def test_items_of_every_length(spark):
+    """One to forty characters, by the rate of 10 % alone; the registered query on the given tables."""
+    rng = random.Random(11)
+    items = [(m * 10 + n, "".join(rng.choice("abcdefgh") for _ in range(m))) for m in range(1, 41) for n in range(2)]
+    items += [(900, "what is 6x7? 42"), (901, "12345678901234567890123456789ab")]
+    docs = []
+    for i in range(150):
+        _, item = rng.choice(items)
+        docs.append((i, "".join(rng.choice("xyz ") for _ in range(rng.randint(0, 30))) + noisy(rng, item, rng.randint(0, len(item) // 10 + 1))))
+    docs += [(500, "zz what is 6y7? 42 zz"), (501, "zz 1234567890x234567890y23456789zab")]
+    got = qd.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = {(i, j) for i, t in docs for j, s in items if distance(s, qd.normalize(t)) <= len(s) // 10}
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
+    assert {(500, 900), (501, 901)} <= want
+
+
+def test_registered(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, items = (spark.read.parquet(f"{sf}/{n}.parquet").select(k, "text").collect() for n, k in (("documents", "doc_id"), ("benchmark", "item_id")))
+    got = {(r.doc_id, r.item_id) for r in qd.op8_qgram_decontam(spark, sf).collect()}
+    plain = {(d.doc_id, i.item_id) for d in docs for i in items if qd.normalize(i.text or "") and qd.normalize(i.text) in qd.normalize(d.text or "")}
+    assert plain <= got and plain
+    near = {i.item_id: qd.normalize(i.text) for i in items if i.text}
+    text = {d.doc_id: qd.normalize(d.text or "") for d in docs}
+    assert all(distance(near[j], text[i]) <= len(near[j]) // 10 for i, j in list(got - plain)[:20])
