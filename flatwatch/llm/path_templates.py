@@ -45,19 +45,29 @@ def smoothed(good: Column, n: Column, prior: Column, weight: float) -> Column:
     return (good + weight * prior) / (n + F.lit(weight))
 
 
-def templates(urls: DataFrame, min_count: int = 20, min_share: float = 0.01, z: float = 3.0, max_depth: int = 16) -> DataFrame:
+def templates(urls: DataFrame, min_count: int = 20, min_share: float = 0.01, z: float = 3.0,
+              max_depth: int | None = None) -> DataFrame:
     """``urls`` (host, path, good: boolean, null without label, and others) plus ``template``.
 
-    Segments beyond ``max_depth`` make one last branch ``**``; empty segments don't count. An empty path has the
-    template ``/``.
+    The tree grows until no node has ``min_count`` urls that go on: below, every value is rare, so all that is left of a
+    path is ``*`` by segment. With a ``max_depth``, segments beyond it make one last branch ``**``. Empty segments don't
+    count. An empty path has the template ``/``.
     """
     own = [c for c in urls.columns if c != "template"]
     rows = urls.select(*own, F.filter(F.split("path", "/"), lambda s: s != "").alias("__parts"), F.lit("").alias("template"))
     rows = materialize(salted(rows), "url-tree")
-    deepest = rows.agg(F.max(F.size("__parts"))).first()[0] or 0
     n, good = F.count(F.lit(1)), F.sum(F.col("good").cast("long"))
-    for depth in range(min(deepest, max_depth)):
-        here = rows.filter(F.size("__parts") > depth).withColumn("__value", F.col("__parts")[depth])
+    depth = 0
+    while depth != max_depth:
+        longer = rows.filter(F.size("__parts") > depth)
+        if longer.groupBy("host", "template").agg(n.alias("n")).filter(F.col("n") >= min_count).isEmpty():
+            rest = F.repeat(F.lit("/*"), F.greatest(F.size("__parts") - depth, F.lit(0)))
+            if max_depth is not None:
+                kept = F.least(F.size("__parts"), F.lit(max_depth)) - depth
+                rest = F.concat(F.repeat(F.lit("/*"), F.greatest(kept, F.lit(0))), F.when(F.size("__parts") > max_depth, "/**").otherwise(""))
+            rows = rows.withColumn("template", F.concat("template", rest))
+            break
+        here = longer.withColumn("__value", F.col("__parts")[depth])
         values = here.groupBy("host", "template", "__value").agg(
             n.alias("n"), F.count("good").alias("m"), good.alias("g"), salts_seen().alias("__salts"))
         nodes = values.groupBy("host", "template").agg(F.sum("n").alias("all_n"), F.sum("m").alias("all_m"), F.sum("g").alias("all_g"))
@@ -73,6 +83,7 @@ def templates(urls: DataFrame, min_count: int = 20, min_share: float = 0.01, z:
         step = F.when(F.col("__value").isNull(), "").otherwise(F.concat(F.lit("/"), F.coalesce("__branch", F.lit("*"))))
         tail = F.when(F.size("__parts") > max_depth, F.lit("/**")).otherwise("") if depth + 1 == max_depth else F.lit("")
         rows = materialize(grown.select(*own, "__parts", "__salt", F.concat("template", step, tail).alias("template")), "url-tree")
+        depth += 1
     return rows.select(*own, F.when(F.col("template") == "", "/").otherwise(F.col("template")).alias("template"))
 
 

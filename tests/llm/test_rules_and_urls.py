@@ -162,3 +162,37 @@ def test_templates_and_purity(spark, depth):
         assert got[i].purity == pytest.approx(p) and got[i].verdict == ("block" if p < 0.5 else "allow")
     assert {r.verdict for r in got.values()} == {"allow", "block"}
     assert got[5000].template == "/" and got[5000].verdict == "allow"
+
+
+def test_paths_of_any_depth(spark):
+    """No depth is too deep: a branch at the twentieth segment still parts good from bad."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):
+        bad = rng.random() < 0.5
+        rows.append(("a.com", "/" + "/".join([str(rng.randint(0, 9))] * 19) + ("/spam/" if bad else "/good/") + str(i) + "/end" * (i % 4), not bad))
+    rows += [("b.com", "/x" * 40, None), ("b.com", "", None)]
+    df = spark.createDataFrame([(i, f"http://{h}{p}", g) for i, (h, p, g) in enumerate(rows)], "page_id int, url string, good boolean")
+    options = {"min_count": 10, "min_share": 0.02, "z": 2.0}
+    got = {r.page_id: r for r in pt.judge(df, rules=(), **options).collect()}
+    assert [got[i].template for i in range(len(rows))] == plain_templates(rows, **options, max_depth=1000)
+    assert [got[i].verdict for i in range(300)] == ["allow" if g else "block" for _, _, g in rows[:300]]
+
+
+def test_registered_query_rejects_a_bad_template(spark, tmp_path):
+    """Labels come by the number that ends a path, a page file's ending and a slash aside; one section is bad, one a little."""
+    pages, labels = [], []
+    for i in range(240):
+        section = ("spam", "news", "wiki")[i % 3]
+        pages.append((i, f"https://site.example/{section}/{1000 + i}" + ("", ".html", "/")[i % 2] + "?q=1"))
+        labels.append((1000 + i, int(section != "spam"), int(section == "wiki" and i % 8 == 2)))
+    pages += [(900, "https://site.example/spam/no-number"), (901, "https://other.example/spam/7"), (902, None), (903, "https://www.site.net/en/1")]
+    labels += [(1001, 1, 0), (None, 0, 0), (1004, None, 0)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.page_id: r for r in pt.op4_path_templates(spark, str(tmp_path)).collect()}
+    assert len(got) == len(pages)
+    for i in range(240):
+        assert got[i].verdict == ("block" if i % 3 == 0 else "allow"), got[i]
+    assert got[900].verdict == "block" and got[901].verdict == "allow" and got[902].verdict == "allow"
+    assert (got[903].rule, got[903].verdict) == ("net/", "block")
