@@ -13,6 +13,9 @@ from flatwatch.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
+#: The production classifier needs more labels than the smallest tables have.
+LARGER = "/root/testdata/sf0.01"
+
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
@@ -30,9 +33,9 @@ def test_sql(spark):
 
 
 def test_pipeline_against_plain_stages(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
-    rows = {r.doc_id: r.text for r in cp.quality(spark, docs, SF).collect()}
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    items = [tuple(r) for r in spark.read.parquet(f"{LARGER}/benchmark.parquet").select("item_id", "text").collect()]
+    rows = {r.doc_id: r.text for r in cp.quality(spark, docs, LARGER).collect()}
     assert 0 < len(rows) < docs.count()
     fps = {i: sb.fingerprint(t.encode()) for i, t in rows.items()}
     group = {i: i for i in rows}
@@ -51,11 +54,11 @@ def test_pipeline_against_plain_stages(spark):
             cut[i] = new.decode()
     index = qd.Index(items, 8, 0.1)
     kept = {i: t for i, t in cut.items() if not index.search(t)}
-    got = cp.run(spark, SF).collect()
+    got = cp.run(spark, LARGER).collect()
     assert {r.doc_id for r in got} == set(kept) and len(kept) < len(cut)
     from flatwatch.llm.token_pieces import encoder
     encode = encoder()
     assert {i: sum(r.length for r in got if r.doc_id == i) for i in kept} == {i: len(encode(t)) + 1 for i, t in kept.items()}
     stages = dict(cp.STAGES)
     for name in list(stages)[:-1]:
-        assert stages[name](spark, docs, SF).columns == docs.columns
+        assert stages[name](spark, docs, LARGER).columns == docs.columns
