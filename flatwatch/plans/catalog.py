@@ -405,7 +405,7 @@ def q_landed_page_bodies(spark, sf):
     """Whole bodies of pages landed by source and type."""
     path = scratch_path(spark, "landed-bodies")
     _as_pages(table(spark, sf, "pages", ["page_id", "url", "html"]), "html").write.partitionBy("source", "type").parquet(path)
-    return read_pages(spark, path).select("source", "page", "url", F.length("html").alias("html_chars"), F.md5("html").alias("html_md5"))
+    return read_pages(spark, path).select("source", "page", "url", F.length("html").cast("long").alias("html_chars"), F.md5("html").alias("html_md5"))
 
 
 def q_html_files(spark, sf):
@@ -422,7 +422,7 @@ def q_html_files(spark, sf):
     path = scratch_path(spark, "landed-bytes")
     _as_pages(table(spark, sf, "pages", ["page_id", "url", "html"]), content.alias("content"), header.alias("header")).write.parquet(path)
     return read_page_bytes(spark.read.parquet(path)).select(
-        "page", F.length("html").alias("html_chars"), F.md5("html").alias("html_md5"))
+        "page", F.length("html").cast("long").alias("html_chars"), F.md5("html").alias("html_md5"))
 
 
 # ---- the whole job on rendered portal pages (EXT-1..11, CLN-*, PRJ-*, SET-1, AGG-6) ------------------------
