@@ -3,15 +3,21 @@
 A text is cut into sentences; every run of several consecutive sentences is hashed; a run that occurs more than once
 anywhere keeps its first occurrence, and the sentences that any later occurrence covers are removed.
 
-A word ends a sentence if it ends in ``.!?;:`` or is followed by a line break. A stretch of ``WINDOW`` words without
-such an end is cut after the word of least hash in it, so no sentence is longer than that, and a cut depends on the
-words around it alone: a passage of over fifty words set into the middle of another sentence has the same cuts from
-its tenth word on wherever it stands, and holds whole runs. A run starts at every sentence and goes on until it has
-``run`` sentences and ``min_words`` words; one more run ends with the text, so that its last sentences belong to one.
+A word is a stretch without white space; in scripts written without spaces each character is one. A word ends a sentence
+if the punctuation after its last letter or digit (closing quotes and brackets included) holds a sentence end of any
+script, or if a line break follows; ends beyond ASCII need no space after them. What goes on for more than ``LONGEST``
+words without such an end is no sentence but a list, a table or text without punctuation. It is cut after the word of
+least hash in any ``WINDOW`` words, so that a cut depends on the words around it alone: a passage in the middle of two
+such stretches has the same cuts from its tenth word on, and holds whole runs. A run starts at every sentence and goes
+on until it has ``run`` sentences and ``min_words`` words; one more run ends with the text, so that its last sentences
+belong to one. Runs are compared by 128 bits.
 """
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -22,13 +28,66 @@ from pyspark.sql import types as T
 from flatwatch.llm.common import map_slices, row_key, table, utf8
 from flatwatch.session import materialize
 
-SPACE = np.zeros(256, bool)
-SPACE[[9, 10, 11, 12, 13, 32]] = True
-ENDERS = np.zeros(256, bool)
-ENDERS[list(b".!?;:")] = True
-NONE = np.empty(0, np.int64)
-#: Most words of a sentence.
-WINDOW = 10
+# fixed values: sentence ends that need a space or the text's end after them, those that need none
+ENDS = ".!?;:\u2026"
+ENDS_ANYWHERE = ("\u3002\uff61\uff0e\uff01\uff1f\uff1b\uff1a\u037e\u0589\u061f\u061b\u06d4\u0964\u0965\u104a\u104b\u1362\u1367\u1368"
+                 "\u17d4\u17d5\u0f0d\u0f0e\u1803\u1809\u203c\u203d\u2047\u2048\u2049")
+# fixed values: blocks of scripts written without spaces (Thai, Lao, Myanmar, Khmer, kana, Han)
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF),
+            (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+SPACE, WORD, END, ANYWHERE, ALONE = 1, 2, 4, 8, 16
+#: Most words of a sentence; of the pieces of what is longer.
+LONGEST, WINDOW = 40, 10
+
+
+@functools.cache
+def classes() -> np.ndarray:
+    """What each code point is, as bits."""
+    out = np.zeros(0x110000, np.uint8)
+    for c in range(0x110000):
+        if chr(c).isalnum() or unicodedata.category(chr(c))[0] == "M":
+            out[c] = WORD
+    out[[9, 10, 11, 12, 13, 32]] = SPACE
+    for first, last in UNSPACED:
+        out[first:last + 1] |= np.where(out[first:last + 1] & WORD, np.uint8(ALONE), np.uint8(0))
+    out[[ord(c) for c in ENDS]] = END
+    out[[ord(c) for c in ENDS_ANYWHERE]] = END | ANYWHERE
+    return out
+
+
+def before(flags: np.ndarray) -> np.ndarray:
+    """How many flags are set before each position, the end included."""
+    return np.concatenate(([0], np.cumsum(flags)))
+
+
+def words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, stop): byte offsets of the words, and whether each one ends a sentence."""
+    if raw.isascii():
+        points = np.frombuffer(raw, np.uint8)
+        offset = None
+    else:
+        points = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
+        offset = np.concatenate(([0], np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000))))
+    kind = classes()[points]
+    space = (kind & SPACE) > 0
+    edge = np.diff(np.concatenate(([True], space, [True])).astype(np.int8))
+    starts = np.flatnonzero(edge == -1)
+    letters = np.flatnonzero(kind & WORD)
+    if offset is not None and (kind & (ALONE | ANYWHERE)).any():
+        alone = (kind[letters] & ALONE) > 0
+        wide = before((kind & ANYWHERE) > 0)[letters]
+        fresh = alone | np.concatenate(([False], alone[:-1] | (wide[1:] > wide[:-1])))
+        starts = np.union1d(starts, letters[fresh])
+    if not len(starts):
+        return starts, starts, np.empty(0, bool)
+    after = np.append(starts[1:], len(points))
+    blank = np.flatnonzero(edge == 1)                              # where white space begins, and the end
+    ends = np.minimum(after, blank[np.searchsorted(blank, starts, side="right")])
+    last = np.append(-1, letters)[np.searchsorted(letters, ends)]  # the last letter or digit before the word's end
+    marks, lines = before((kind & END) > 0), before(points == 10)
+    stop = (marks[ends] > marks[np.maximum(last + 1, starts)]) | (lines[after] > lines[ends])
+    stop[-1] = True
+    return (starts, ends, stop) if offset is None else (offset[starts], offset[ends], stop)
 
 
 def sentences(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -36,17 +95,12 @@ def sentences(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     A text without words has none of them.
     """
-    data = np.frombuffer(raw, np.uint8)
-    space = SPACE[data]
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
-    starts, ends = edge[0::2], edge[1::2]
+    starts, ends, stop = words(raw)
     if not len(starts):
         return starts, ends, starts
-    lines = np.concatenate(([0], np.cumsum(data == 10)))
-    broken = np.concatenate((lines[starts[1:]] > lines[ends[:-1]], [True]))
-    stop = ENDERS[data[ends - 1]] | broken
-    if len(starts) >= WINDOW:
-        low = data.astype(np.uint64) | np.uint64(32)             # a letter's case makes no difference
+    size = np.diff(np.concatenate(([-1], np.flatnonzero(stop))))
+    if size.max() > LONGEST:
+        low = np.frombuffer(raw, np.uint8).astype(np.uint64) | np.uint64(32)             # a letter's case makes no difference
         plain = np.concatenate((np.zeros(1, np.uint64), np.cumsum(low)))
         placed = np.concatenate((np.zeros(1, np.uint64), np.cumsum(low * np.arange(len(low), dtype=np.uint64))))
         total = plain[ends] - plain[starts]
@@ -55,31 +109,43 @@ def sentences(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         order = np.where(stop, np.uint64(0), (mixed ^ (mixed >> np.uint64(29))) | np.uint64(1))
         windows = np.lib.stride_tricks.sliding_window_view(order[::-1], WINDOW)
         least = len(starts) - 1 - (np.arange(len(windows)) + windows.argmin(axis=1))     # the last one of equal words
-        stop[least] = True
+        stop[least[np.repeat(size > LONGEST, size)[least]]] = True
     return starts, ends, np.concatenate(([0], np.flatnonzero(stop[:-1]) + 1))
 
 
-def runs(raw: bytes, run: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs(raw: bytes, run: int, min_words: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(hash, first sentence, number of sentences) of every run in a text; words are compared A-Z lower-cased."""
     starts, ends, first = sentences(raw)
     bounds = np.append(first, len(starts))
     upto = np.maximum(np.arange(len(first)) + run, np.searchsorted(bounds, first + min_words))
     at = np.flatnonzero(upto <= len(first)) if len(first) else np.empty(0, np.int64)
     if not len(at):
-        return np.empty(0, np.int64), at, at
+        return [], at, at
     upto = upto[at]
     tail = min(len(first) - run, int(np.searchsorted(first, len(starts) - min_words, side="right")) - 1)
     if upto[-1] < len(first):
         at, upto = np.append(at, tail), np.append(upto, len(first))
     line = b" ".join(raw.lower().split())
-    offset = np.concatenate(([0], np.cumsum(ends - starts + 1)))
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(line[s:e - 1]) for s, e in zip(offset[first[at]].tolist(), offset[bounds[upto]].tolist())),
-                         np.uint64, len(at))
-    return hashes.view(np.int64), at, upto - at
+    offset = np.concatenate(([0], np.cumsum(ends[:-1] - starts[:-1] + (starts[1:] > ends[:-1]))))
+    end = offset + (ends - starts)
+    digest = xxhash.xxh3_128_digest
+    hashes = [digest(line[s:e]) for s, e in zip(offset[first[at]].tolist(), end[bounds[upto] - 1].tolist())]
+    return hashes, at, upto - at
+
+
+def halves(hashes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes as two longs each."""
+    both = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
+def wholes(high: np.ndarray, low: np.ndarray) -> set[bytes]:
+    """What :func:`halves` was given."""
+    raw = np.stack((high, low), axis=1).tobytes()
+    return {raw[i:i + 16] for i in range(0, len(raw), 16)}
 
 
-def strip(raw: bytes, repeats: np.ndarray, run: int, min_words: int) -> tuple[bytes, list[tuple[int, int]], int, int]:
+def strip(raw: bytes, repeats: set[bytes], run: int, min_words: int) -> tuple[bytes, list[tuple[int, int]], int, int]:
     """The text without the sentences of runs that occur earlier in it or whose hash is in ``repeats``, the removed byte
     ranges, and the sentence counts (all, removed).
 
@@ -88,10 +154,11 @@ def strip(raw: bytes, repeats: np.ndarray, run: int, min_words: int) -> tuple[by
     starts, _, first = sentences(raw)
     gone = np.zeros(len(first), bool)
     hashes, at, length = runs(raw, run, min_words)
-    again = np.ones(len(hashes), bool)
-    again[np.unique(hashes, return_index=True)[1]] = False
-    for i in np.flatnonzero(again | np.isin(hashes, repeats)).tolist():
-        gone[at[i]:at[i] + length[i]] = True
+    seen = set(repeats)
+    for i, h in enumerate(hashes):
+        if h in seen:
+            gone[at[i]:at[i] + length[i]] = True
+        seen.add(h)
     cut = np.append(starts[first], len(raw))
     edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
     ranges = [(int(cut[s]), int(cut[e])) for s, e in zip(edge[0::2], edge[1::2])]
@@ -104,32 +171,35 @@ def strip(raw: bytes, repeats: np.ndarray, run: int, min_words: int) -> tuple[by
 
 
 def repeated_runs(docs: DataFrame, doc_id: str, text: str, run: int, min_words: int) -> DataFrame:
-    """(id, row, hash): the runs of each document that an earlier document, in order of (doc_id, row), holds.
+    """(id, row, high, low): the runs of each document that an earlier document, in order of (doc_id, row), holds.
 
     A document gives each of its runs once, so a text that repeats itself adds nothing to a hash. One shuffle brings
-    (hash, least document) together, aggregated on the map side; a second one joins the hashes of more than one document
-    back, and AQE splits those that very many hold. Copies of a run are never listed against each other.
+    hash and least document together, hash-aggregated on the map side; a second one joins the hashes of more than one
+    document back, and AQE splits those that very many hold. Copies of a run are never listed against each other.
     """
 
     def spans(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [np.unique(runs(x, run, min_words)[0]) for x in utf8(batch.column("text"))]
+        found = [list(dict.fromkeys(runs(x, run, min_words)[0])) for x in utf8(batch.column("text"))]
         row = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
-        hashes = np.concatenate(found) if found else np.empty(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(hashes), batch.column("id").take(row), batch.column("row").take(row)],
-                                          names=["hash", "id", "row"])
+        high, low = halves([h for f in found for h in f])
+        return pa.RecordBatch.from_arrays([pa.array(high), pa.array(low), batch.column("id").take(row), batch.column("row").take(row)],
+                                          names=["high", "low", "id", "row"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     source = docs.select(F.col(doc_id).alias("id"), version(doc_id, text).alias("row"), F.col(text).alias("text"))
-    places = materialize(map_slices(source, spans, f"hash long, id {kind}, row int"), "sentence-runs")
-    place = F.struct("id", "row")
-    first = materialize(places.groupBy("hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-                        .filter(F.col("n") > 1).select("hash", "first"), "sentence-firsts")
-    return places.join(first, "hash").filter(~place.eqNullSafe(F.col("first"))).select("id", "row", "hash")
+    places = materialize(map_slices(source, spans, f"high long, low long, id {kind}, row long"), "sentence-runs")
+    # least id and least row of those without an id: a least struct of both would be aggregated by sorting
+    first = materialize(places.groupBy("high", "low").agg(
+        F.min("id").alias("first_id"), F.min(F.when(F.col("id").isNull(), F.col("row"))).alias("first_row"),
+        F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).drop("n"), "sentence-firsts")
+    is_first = (F.when(F.col("first_row").isNotNull(), F.col("id").isNull() & (F.col("row") == F.col("first_row")))
+                .otherwise(F.col("id") == F.col("first_id")))
+    return places.join(first, ["high", "low"]).filter(~is_first).select("id", "row", "high", "low")
 
 
 def version(doc_id: str, text: str) -> Column:
     """Tells apart texts without an id; 0 for the others."""
-    return F.when(F.col(doc_id).isNull(), row_key(text).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).otherwise(F.lit(0))
+    return F.when(F.col(doc_id).isNull(), row_key(text)).otherwise(F.lit(0).cast("long"))
 
 
 def dedup_sentences(docs: DataFrame, run: int = 3, min_words: int = 15, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -141,7 +211,7 @@ def dedup_sentences(docs: DataFrame, run: int = 3, min_words: int = 15, doc_id:
     alike. Texts without an id sort before all others, equal ones being one document. An empty table gives no rows.
     """
     found = (repeated_runs(docs, doc_id, text, run, min_words)
-             .groupBy("id", "row").agg(F.collect_set("hash").alias("__runs"))   # at most a text's sentences
+             .groupBy("id", "row").agg(F.collect_set(F.struct("high", "low")).alias("__runs"))   # at most a text's sentences
              .select(F.col("id").alias("__id"), F.col("row").alias("__row"), "__runs"))
     own = ("removed_spans", "n_sentences", "n_removed", "__runs", "__row", "__id")
     keep = [c for c in docs.columns if c not in own]
@@ -152,7 +222,8 @@ def dedup_sentences(docs: DataFrame, run: int = 3, min_words: int = 15, doc_id:
         old = batch.column(text)
         new, ranges, total, gone = [], [], [], []
         for raw, given, known in zip(utf8(old), batch.column("__runs"), old.is_valid().to_pylist()):
-            t, r, n, g = strip(raw, given.values.to_numpy() if given.is_valid else NONE, run, min_words)
+            high, low = (given.values.field(k).to_numpy() for k in (0, 1)) if given.is_valid else halves([])
+            t, r, n, g = strip(raw, wholes(high, low), run, min_words)
             new.append(t.decode() if known else None)
             ranges.append([{"start": s, "end": e} for s, e in r])
             total.append(n)

@@ -48,8 +48,8 @@ def test_pipeline_against_plain_stages(spark):
     seen, cut = set(), {}
     for i in sorted(rows):
         raw = rows[i].encode()
-        new, _, n, gone = ss.strip(raw, ss.np.array(sorted(seen), ss.np.int64), 3, 15)
-        seen |= set(ss.runs(raw, 3, 15)[0].tolist())
+        new, _, n, gone = ss.strip(raw, seen, 3, 15)
+        seen |= set(ss.runs(raw, 3, 15)[0])
         if not 0 < gone == n:
             cut[i] = new.decode()
     index = qd.Index(items, 8, 0.1)

@@ -1,7 +1,70 @@
 import random
+import re
+import unicodedata
 
 from flatwatch.llm import sentence_spans as ss
 
+UNSPACED = re.compile("[\u0e00-\u0eff\u3040-\u30ff\u4e00-\u9fff]")
+
+
+def plain_cut(text):
+    """Sentences as lists of (start, end) characters of their words, by reading the text one character at a time;
+    stretches over 40 words are left whole."""
+    found, word, last = [], None, ""
+    letter = lambda c: c.isalnum() or unicodedata.category(c).startswith("M")
+    for i, c in enumerate(text):
+        if c in " \t\n\v\f\r":
+            word = None
+            continue
+        fresh = letter(c) and (UNSPACED.match(c) or UNSPACED.match(last[:1]) or any(x in "。！？।؟" for x in last[1:]))
+        if word is None or fresh:
+            word = len(found)
+            found.append([i, i])
+        found[word][1] = i + 1
+        last = c if letter(c) else last + c
+    out, own = [], []
+    for k, (s, e) in enumerate(found):
+        own.append((s, e))
+        tail = e
+        while tail > s and not letter(text[tail - 1]):
+            tail -= 1
+        gap = text[e:found[k + 1][0]] if k + 1 < len(found) else "\n"
+        if "\n" in gap or any(x in ".!?;:…。！？।؟" for x in text[tail:e]):
+            out.append(own)
+            own = []
+    return out + [own] if own else out
+
+
+def test_sentence_ends_in_all_scripts():
+    rng = random.Random(3)
+    pieces = ["go", "now", "3.5", "e.g.", '"end."', "(so!)", "wait…", "yes?»", "-", "...", "日本", "語。", "「はい」", "文。」次", "ไทย", "हिन्दी।", "مرحبا؟", "Дом.", "é"]
+    for _ in range(300):
+        text = "".join(rng.choice(pieces) + rng.choice([" ", " ", "  ", "\n", "", " \n "]) for _ in range(rng.randint(0, 30)))
+        want = plain_cut(text)
+        if any(len(x) > ss.LONGEST for x in want):
+            continue
+        starts, ends, first = ss.sentences(text.encode())
+        at = lambda i: len(text[:i].encode())
+        assert [(at(s), at(e)) for x in want for s, e in x] == list(zip(starts.tolist(), ends.tolist()))
+        assert first.tolist() == [sum(map(len, want[:k])) for k in range(len(want))]
+    # a sentence of forty words is one
+    forty = " ".join(["word"] * 39) + " end."
+    assert len(ss.sentences((forty + " " + forty).encode())[2]) == 2
+
+
+def test_scripts_without_spaces(spark):
+    rng = random.Random(5)
+    def sentence(n=12):
+        return "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(n)) + "。"
+    shared = "".join(sentence() for _ in range(5))
+    plain = "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(80))               # no sentence ends at all
+    rows = [(1, sentence() + shared + sentence()), (2, sentence() + shared + sentence()), (3, sentence() + sentence()),
+            (4, sentence() + plain), (5, sentence() + plain)]
+    got = {r.doc_id: r.text for r in ss.dedup_sentences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    given = dict(rows)
+    assert {i: got[i] for i in (1, 3, 4)} == {i: given[i] for i in (1, 3, 4)}
+    assert got[2] == given[2].replace(shared, "") and len(got[5]) < 40
+
 
 def plain(rows, run=3, min_words=15):
     """{(id, text): kept text} by a dictionary of word runs."""
@@ -115,3 +178,13 @@ def test_very_long_text(spark):
     df = spark.createDataFrame([(1, text), (2, "x. " + text)], "doc_id long, text string")
     got = {r.doc_id: r for r in ss.dedup_sentences(df).collect()}
     assert got[1].text == text and len(got[2].text) < 400
+
+
+def test_registered_query(spark):
+    """The query over a whole table: what it cuts is what a dictionary of runs cuts."""
+    sf = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, 0, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    want = plain(docs)
+    got = {r.doc_id: r for r in ss.op10_sentence_spans(spark, sf).collect()}
+    assert len(got) == len(docs) and {i: r.text for i, r in got.items()} == {i: want[i, 0] for i, _, _ in docs}
+    assert any(r.n_removed for r in got.values())
