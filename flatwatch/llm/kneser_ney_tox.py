@@ -31,10 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flatwatch.llm.common import SLICE_ROWS, fold, map_slices, table, utf8
-from flatwatch.llm.naive_bayes_lang import LETTERS
 from flatwatch.llm.neighbour_votes import labelled_sample
 from flatwatch.session import materialize
 
+#: A-Z lower-cased, other ASCII than letters as space.
+LETTERS = np.array([x + 32 if 65 <= x <= 90 else x if 97 <= x <= 122 or x >= 128 else 32 for x in range(256)], np.uint8)
 ORDER, SHARED_CONTEXT, DISCOUNT = 5, 2, 0.95
 #: Ratios that are broadcast, at about 20 to 28 bytes each; more are joined.
 MAX_KEYS = 1 << 22

@@ -1,13 +1,15 @@
-"""Language identification: multinomial naive Bayes over hashed byte n-grams (1 to 4) of letters.
+"""Language identification: multinomial naive Bayes over hashed character n-grams (1 to 4) of letters.
 
-A-Z are lower-cased and ASCII bytes that are no letters become spaces, so scripts beyond ASCII count by their UTF-8
-bytes. Counts cover every training row: tasks add them up by language, Spark sums them by (language, bin). The matrix
-of log-probabilities, languages x ``2 ** bits`` floats, goes to every task; a slice of texts is scored by gathering the
-rows of its n-grams and summing them text by text.
+Texts are lower-cased by Unicode's rules; code points that are neither letters nor marks become spaces. Counts cover
+every training row: tasks add them up by language, Spark sums them by (language, bin). The matrix of log-probabilities,
+``2 ** bits`` bins x languages in floats, goes to every task. A slice of texts becomes a sparse matrix of counts, a row
+for each text and an entry for each bin that it holds, and is multiplied with the log matrix in numpy.
 """
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,29 +19,73 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flatwatch.llm.common import SLICE_ROWS, map_slices, table, utf8
+from flatwatch.llm.common import SLICE_ROWS, map_slices, table, texts
 from flatwatch.llm.neighbour_votes import held_out
+from flatwatch.session import materialize
 
-LETTERS = np.array([x + 32 if 65 <= x <= 90 else x if 97 <= x <= 122 or x >= 128 else 32 for x in range(256)], np.uint8)
 ORDERS = (1, 2, 3, 4)
+#: Characters whose n-grams are held at once; longer texts come in parts.
 BLOCK = 1 << 18
 #: Languages whose counts a task holds at once, before it hands them on.
 HELD = 32
+#: Languages of a model: with 16 bits the matrix has a quarter of a MB for each. More are an error.
+MAX_LANGS = 1000
 UNKNOWN = "und"
 
 
-def bins(data: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    """Bins of the n-grams of the letters ``data`` (bytes, a space before and after), in blocks."""
-    data = np.concatenate(([32], data, [32])).astype(np.uint32)
-    for start in range(0, len(data), BLOCK):
+@functools.cache
+def letters() -> np.ndarray:
+    """Whether each code point is a letter or a mark."""
+    return np.fromiter((unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)), bool, 0x110000)
+
+
+def parts(rows: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(code points, row of each, whether an n-gram starts there) of texts, a space before and after each, in blocks.
+
+    The parts of a long text overlap by the length of the longest n-gram less one; n-grams start in one of them only.
+    A part of full length ends its block, so no two parts of one text are side by side.
+    """
+    held, size = [], 0
+    more = max(ORDERS) - 1
+    for i, text in enumerate(rows):
+        points = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
+        data = np.full(len(points) + 2, 32, np.uint32)
+        data[1:-1] = np.where(letters()[points], points, np.uint32(32))
+        for start in range(0, len(data), BLOCK):
+            own = data[start:start + BLOCK + more]
+            held.append((own, np.full(len(own), i), np.arange(len(own)) < BLOCK))
+            size += len(own)
+            if size >= BLOCK:
+                yield tuple(np.concatenate(x) for x in zip(*held))
+                held, size = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held))
+
+
+def bins(rows: list[str], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, bin) of all n-grams of texts, in blocks."""
+    for points, row, begins in parts(rows):
+        found = []
         for n in ORDERS:
-            b = data[start:start + BLOCK + n - 1]
-            if len(b) < n:
+            size = len(points) - n + 1
+            if size <= 0:
                 continue
-            g = np.full(len(b) - n + 1, n, np.uint32)
+            at = np.flatnonzero(begins[:size] & (row[:size] == row[n - 1:]))
+            g = np.full(len(at), n, np.uint32)
             for j in range(n):
-                g = g * np.uint32(0x01000193) ^ b[j:len(g) + j]
-            yield g * np.uint32(2654435761) >> np.uint32(32 - bits)
+                g = (g ^ points[at + j]) * np.uint32(0x01000193)
+                g ^= g >> np.uint32(15)
+            found.append((row[at], g * np.uint32(2654435761) >> np.uint32(32 - bits)))
+        yield tuple(np.concatenate(x) for x in zip(*found))
+
+
+def sparse_counts(rows: list[str], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, bin, count) of the entries of the texts' count matrix, by row and bin; a long text's come in several blocks."""
+    for row, at in bins(rows, bits):
+        key = np.sort(row.astype(np.uint64) << np.uint64(bits) | at)
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        key, n = key[first], np.diff(np.append(first, len(key)))
+        yield (key >> np.uint64(bits)).astype(np.int64), (key & np.uint64((1 << bits) - 1)).astype(np.int64), n
 
 
 @dataclass
@@ -49,12 +95,12 @@ class Model:
     logs: np.ndarray            # bins x languages
     bits: int
 
-    def posteriors(self, raws: list[bytes]) -> np.ndarray:
+    def posteriors(self, rows: list[str]) -> np.ndarray:
         """Texts x languages."""
-        out = np.tile(self.prior, (len(raws), 1))
-        for i, raw in enumerate(raws):
-            for at in bins(LETTERS[np.frombuffer(raw, np.uint8)], self.bits):
-                out[i] += self.logs[at].sum(axis=0, dtype=np.float64)
+        out = np.tile(self.prior, (len(rows), 1))
+        for row, at, n in sparse_counts(rows, self.bits):
+            first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+            out[row[first]] += np.add.reduceat(self.logs[at] * n[:, None].astype(np.float64), first, axis=0)
         out -= out.max(axis=1, keepdims=True)
         p = np.exp(out)
         return p / p.sum(axis=1, keepdims=True)
@@ -78,25 +124,34 @@ def train(docs: DataFrame, bits: int = 16, alpha: float = 0.5, text: str = "text
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)
-                for raw, k in zip(utf8(part.column("text")), part.column("lang").to_pylist()):
+                by_lang: dict[str, list[str]] = {}
+                for t, k in zip(texts(part.column("text")), part.column("lang").to_pylist()):
+                    by_lang.setdefault(k, []).append(t)
+                for k, own in by_lang.items():
                     if k not in held and len(held) == HELD:
                         yield flush()
-                    own = held.setdefault(k, np.zeros((1 << bits) + 1, np.int64))
-                    own[0] += 1                                            # texts, as bin -1
-                    for at in bins(LETTERS[np.frombuffer(raw, np.uint8)], bits):
-                        own[1:] += np.bincount(at, minlength=1 << bits)
+                    n = held.setdefault(k, np.zeros((1 << bits) + 1, np.int64))
+                    n[0] += len(own)                                       # texts, as bin -1
+                    for _, at in bins(own, bits):
+                        n[1:] += np.bincount(at, minlength=1 << bits)
         if held:
             yield flush()
 
     source = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).filter(F.col("lang").isNotNull())
-    rows = source.mapInArrow(count, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toArrow()
-    langs = sorted(set(rows.column("lang").to_pylist()))                    # at most languages x bins rows
-    index = np.array([langs.index(k) for k in rows.column("lang").to_pylist()], np.int64)
+    counted = materialize(source.mapInArrow(count, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")),
+                          "lang-counts")
+    many = counted.select("lang").distinct().count()
+    if many > MAX_LANGS:
+        raise ValueError(f"{many} languages to learn, more than {MAX_LANGS}: the matrix would not fit")
+    rows = counted.toArrow()                                                # at most MAX_LANGS x (bins + 1) rows
+    langs = sorted(set(rows.column("lang").to_pylist()))
+    place = {k: i for i, k in enumerate(langs)}
+    index = np.array([place[k] for k in rows.column("lang").to_pylist()], np.int64)
     counts = np.zeros((len(langs), (1 << bits) + 1))
     np.add.at(counts, (index, rows.column("bin").to_numpy() + 1), rows.column("n").to_numpy())
-    texts_, counts = counts[:, 0], counts[:, 1:]
+    n_texts, counts = counts[:, 0], counts[:, 1:]
     logs = np.log((counts + alpha) / (counts.sum(axis=1, keepdims=True) + alpha * (1 << bits)))
-    prior = np.log(np.maximum(texts_, 1) / max(texts_.sum(), 1))
+    prior = np.log(np.maximum(n_texts, 1) / max(n_texts.sum(), 1))
     return Model(langs, prior, np.ascontiguousarray(logs.T.astype(np.float32)), bits)
 
 
@@ -115,11 +170,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         m = sent.value
-        texts_ = batch.column(text).to_pylist()
-        known = [i for i, t in enumerate(texts_) if t is not None and m.langs and has_letter(t)]
-        langs, score = [UNKNOWN] * len(texts_), np.zeros(len(texts_))
+        rows = batch.column(text).to_pylist()
+        known = [i for i, t in enumerate(rows) if t is not None and m.langs and has_letter(t)]
+        langs, score = [UNKNOWN] * len(rows), np.zeros(len(rows))
         if known:
-            p = m.posteriors([texts_[i].encode() for i in known])
+            p = m.posteriors([rows[i] for i in known])
             for i, row in zip(known, p):
                 best = int(np.argmax(row))
                 langs[i], score[i] = m.langs[best], row[best]

@@ -1,5 +1,6 @@
 import math
 import random
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -89,12 +90,13 @@ def test_terms_in_blocks(monkeypatch):
 
 def plain_bayes(rows, bits, alpha=0.5):
     def grams(text):
-        b = [32] + [c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in text.encode()] + [32]
+        b = [32] + [ord(c) if unicodedata.category(c)[0] in "LM" else 32 for c in text.lower()] + [32]
         for n in (1, 2, 3, 4):
             for i in range(len(b) - n + 1):
                 g = n
                 for c in b[i:i + n]:
-                    g = (g * 0x01000193 ^ c) % 2**32
+                    g = (g ^ c) * 0x01000193 % 2**32
+                    g ^= g >> 15
                 yield g * 2654435761 % 2**32 >> 32 - bits
     counts, texts = defaultdict(Counter), Counter()
     for text, lang in rows:
@@ -131,6 +133,36 @@ def test_bayes_is_plain_bayes(spark, monkeypatch):
     assert nb.predict(edges, model).count() == len(EDGES)
 
 
+def test_languages_of_one_script(spark):
+    """Cyrillic and Greek: two languages of each script, told apart by their words, in capitals as well."""
+    words = {"ru": "что это как его она для только если было также человек время который сегодня хорошо".split(),
+             "uk": "що це як його вона для тільки якщо було також людина час який сьогодні добре її є".split(),
+             "el": "και το να του η με που για από στην αυτό είναι δεν άνθρωπος σήμερα".split(),
+             "el-old": "καὶ τὸ τοῦ ἡ μετὰ ἀπὸ ἐν τῷ τοῦτο ἐστὶν οὐκ ἄνθρωπος σήμερον δὲ γὰρ".split()}
+    rng = random.Random(7)
+    text = lambda k, n: " ".join(rng.choice(words[k]) for _ in range(n))
+    rows = [(i, text(k, 20), k) for i, k in enumerate(list(words) * 30)]
+    model = nb.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    asked = [(i, text(k, 6), k) for i, k in enumerate(list(words) * 25)]
+    asked += [(i + 1000, t.upper(), k) for i, t, k in asked]
+    got = nb.predict(spark.createDataFrame(asked, "doc_id long, text string, lang string"), model).collect()
+    assert np.mean([r.lang == r.lang_pred for r in got]) > 0.97
+
+
+def test_bins_in_blocks(monkeypatch):
+    rows = ["Some Words 12, " * 30, "", "é", "日本語 Дом " * 20]
+    count = lambda: Counter((int(r), int(b)) for row, at, n in nb.sparse_counts(rows, 16) for r, b, k in zip(row, at, n) for _ in range(k))
+    whole = count()
+    monkeypatch.setattr(nb, "BLOCK", 50)
+    assert count() == whole and sum(whole.values()) == sum(max(len(t) + 3 - n, 0) for t in rows for n in nb.ORDERS)
+
+
+def test_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(nb, "MAX_LANGS", 2)
+    with pytest.raises(ValueError):
+        nb.train(spark.createDataFrame([(k, k) for k in "abc"], "text string, lang string"))
+
+
 def plain_ratios(texts, labelled, d=kn.DISCOUNT):
     def grams(text):
         low = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in (text or "").encode())
