@@ -219,9 +219,11 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, seed: in
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one row per group of near copies: the one with the smallest doc_id (and smallest row hash among equals).
 
-    Rows without an id stay only if no row of their group has one; of rows equal in id and text one stays.
+    Rows without an id stay only if no row of their group has one; of rows equal in id and text one stays. A row is known
+    by 128 bits of its id and text.
     """
-    keyed = docs.withColumn("__row", row_key(doc_id, text))
+    keyed = docs.withColumn("__row", F.struct(row_key(doc_id, text).alias("high"),
+                                              F.xxhash64(F.lit("low"), F.col(doc_id), F.col(text)).alias("low")))
     found = near_duplicates(keyed.select(F.struct(F.col(doc_id).isNull(), F.col(doc_id), "__row").alias("doc_id"),
                                          F.col(text).alias("text")), **options)
     kept = found.select(F.col("component_id.__row").alias("__row")).distinct()

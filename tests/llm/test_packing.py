@@ -143,3 +143,31 @@ def test_packed_round_trip(spark, tmp_path, capacity, group_bytes, vocabulary):
         assert sum(pieces, []) == reference_ids(t)
     assert not out
     assert pi.packed(df.limit(0)).count() == 0
+
+
+def test_registered_packings(spark):
+    """op1 and op6 over a whole table: every id is in one place, sequences are gapless and within their size."""
+    sf = "/root/testdata/sf0.001"
+    ids = {r.doc_id: reference_ids(r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    crc = lambda x: zlib.crc32(np.array(x, "<u4").tobytes())
+    by_doc, by_sequence = {}, {}
+    for r in bf.op1_best_fit_reduction(spark, sf).collect():
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+        assert r.ids_crc32 == crc(ids[r.doc_id][r.start:r.start + r.length])
+    assert set(by_doc) == set(ids)
+    for i, pieces in by_doc.items():
+        pieces.sort(key=lambda r: r.piece)
+        assert [r.piece for r in pieces] == list(range(len(pieces)))
+        assert [r.start for r in pieces] == [sum(x.length for x in pieces[:k]) for k in range(len(pieces))]
+        assert sum(r.length for r in pieces) == len(ids[i]) and all(r.length == 1024 for r in pieces[1:])
+        assert len(pieces) == -(-len(ids[i]) // 1024)
+    for pieces in by_sequence.values():
+        pieces.sort(key=lambda r: r.offset)
+        assert [r.offset for r in pieces] == [sum(x.length for x in pieces[:k]) for k in range(len(pieces))]
+        assert sum(r.length for r in pieces) <= 1024
+    assert len(by_sequence) <= -(-sum(map(len, ids.values())) // 1024) * 1.05 + 1
+    rows = pi.op6_packed_ids(spark, sf).collect()
+    assert {i for r in rows for i in r.doc_ids} == set(ids) and sum(r.n_tokens for r in rows) == sum(r.cu_seqlens[-1] for r in rows)
+    assert all(r.cu_seqlens[0] == 0 and list(r.cu_seqlens) == sorted(r.cu_seqlens) and r.n_tokens <= 2048 for r in rows)
+    assert len({r.sequence_id for r in rows}) == len(rows)

@@ -125,3 +125,13 @@ def test_keep_one_and_empty(spark):
         (False, 2, "A b c d e f"), (False, 9, "q r s t u v w"), (True, None, None)]
     empty = spark.createDataFrame([], df.schema)
     assert sb.near_duplicates(empty).count() == 0 and sb.keep_one(empty).count() == 0
+
+
+def test_registered_query(spark):
+    """The query over a whole table against fingerprints worked out one by one and all pairs."""
+    sf = "/root/testdata/sf0.001"
+    fps = {r.doc_id: plain_fingerprint(r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    ids = sorted(fps)
+    root = roots(ids, [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:] if (fps[a] ^ fps[b]).bit_count() <= 4])
+    got = {r.doc_id: r for r in sb.op5_simhash_ball(spark, sf).collect()}
+    assert {i: (r.fingerprint, r.component_id) for i, r in got.items()} == {i: (f"{fps[i]:016x}", root[i]) for i in ids}
