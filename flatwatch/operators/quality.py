@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SourceConfig
-from .clean import FAULTS, clean_price_text, parse_price
+from ..functions.markup import let
+from .clean import FAULTS, clean_price_text, parse_price, price_value
 
 
 def listing_quality(listings: DataFrame, keys: Sequence[str] = ("download_date", "source", "type")) -> DataFrame:
@@ -26,8 +27,15 @@ def listing_quality(listings: DataFrame, keys: Sequence[str] = ("download_date",
 
 def price_status(text: Column, cfg: SourceConfig) -> Column:
     """Why a price text has no value: 'missing' element, the portal's 'ask' text, or 'unparseable'; 'ok' if it has one."""
-    asks = clean_price_text(text, cfg.price_replacements, ()).isin(*cfg.price_sentinels) if cfg.price_sentinels else F.lit(False)
-    return (F.when(text.isNull(), "missing").when(asks, "ask").when(parse_price(text, cfg).isNull(), "unparseable").otherwise("ok"))
+    def status(clean: Column, value: Column) -> Column:
+        asks = clean.isin(*cfg.price_sentinels) if cfg.price_sentinels else F.lit(False)
+        return F.when(clean.isNull(), "missing").when(asks, "ask").when(value.isNull(), "unparseable").otherwise("ok")
+
+    clean = clean_price_text(text, cfg.price_replacements, ())
+    if cfg.price_full_nfkd:
+        return status(clean, parse_price(text, cfg))
+    # a sentinel is told from the cleaned text before its value is asked for, so both have the same text
+    return let(clean, lambda c: status(c, price_value(c, cfg.price_mode)))
 
 
 def quarantined(posts: DataFrame) -> DataFrame:
