@@ -8,9 +8,11 @@ if the punctuation after its last letter or digit (closing quotes and brackets i
 script, or if a line break follows; ends beyond ASCII need no space after them. What goes on for more than ``LONGEST``
 words without such an end is no sentence but a list, a table or text without punctuation. It is cut after the word of
 least hash in any ``WINDOW`` words, so that a cut depends on the words around it alone: a passage in the middle of two
-such stretches has the same cuts from its tenth word on, and holds whole runs. A run starts at every sentence and goes
-on until it has ``run`` sentences and ``min_words`` words; one more run ends with the text, so that its last sentences
-belong to one. Runs are compared by 128 bits.
+such stretches has the same cuts from its tenth word on, and holds whole runs. Commas cut sentences further, like the
+semicolons and colons among the ends: a passage that begins and ends within the sentences around it may hold a single
+whole one in fifty words, but holds whole clauses. What is called a sentence below is such a clause, if commas are there.
+A run starts at every sentence and goes on until it has ``run`` sentences and ``min_words`` words; one more run ends with
+the text, so that its last sentences belong to one. Runs are compared by 128 bits.
 """
 
 from __future__ import annotations
@@ -32,10 +34,13 @@ from flatwatch.session import materialize
 ENDS = ".!?;:\u2026"
 ENDS_ANYWHERE = ("\u3002\uff61\uff0e\uff01\uff1f\uff1b\uff1a\u037e\u0589\u061f\u061b\u06d4\u0964\u0965\u104a\u104b\u1362\u1367\u1368"
                  "\u17d4\u17d5\u0f0d\u0f0e\u1803\u1809\u203c\u203d\u2047\u2048\u2049")
+# fixed values: commas that need a space or the text's end after them, those that need none
+COMMAS = ","
+COMMAS_ANYWHERE = "\u3001\uff64\uff0c\u060c\u060d\u055d\u07f8\u1363\u1364\u1365\u1802\u1808"
 # fixed values: blocks of scripts written without spaces (Thai, Lao, Myanmar, Khmer, kana, Han)
 UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF),
             (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
-SPACE, WORD, END, ANYWHERE, ALONE = 1, 2, 4, 8, 16
+SPACE, WORD, END, ANYWHERE, ALONE, COMMA = 1, 2, 4, 8, 16, 32
 #: Most words of a sentence; of the pieces of what is longer.
 LONGEST, WINDOW = 40, 10
 
@@ -52,6 +57,8 @@ def classes() -> np.ndarray:
         out[first:last + 1] |= np.where(out[first:last + 1] & WORD, np.uint8(ALONE), np.uint8(0))
     out[[ord(c) for c in ENDS]] = END
     out[[ord(c) for c in ENDS_ANYWHERE]] = END | ANYWHERE
+    out[[ord(c) for c in COMMAS]] = COMMA
+    out[[ord(c) for c in COMMAS_ANYWHERE]] = COMMA | ANYWHERE
     return out
 
 
@@ -60,8 +67,8 @@ def before(flags: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(flags)))
 
 
-def words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, stop): byte offsets of the words, and whether each one ends a sentence."""
+def words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, stop, comma): byte offsets of the words, whether each one ends a sentence and has a comma."""
     if raw.isascii():
         points = np.frombuffer(raw, np.uint8)
         offset = None
@@ -79,15 +86,17 @@ def words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         fresh = alone | np.concatenate(([False], alone[:-1] | (wide[1:] > wide[:-1])))
         starts = np.union1d(starts, letters[fresh])
     if not len(starts):
-        return starts, starts, np.empty(0, bool)
+        return starts, starts, np.empty(0, bool), np.empty(0, bool)
     after = np.append(starts[1:], len(points))
     blank = np.flatnonzero(edge == 1)                              # where white space begins, and the end
     ends = np.minimum(after, blank[np.searchsorted(blank, starts, side="right")])
     last = np.append(-1, letters)[np.searchsorted(letters, ends)]  # the last letter or digit before the word's end
-    marks, lines = before((kind & END) > 0), before(points == 10)
-    stop = (marks[ends] > marks[np.maximum(last + 1, starts)]) | (lines[after] > lines[ends])
+    tail = np.maximum(last + 1, starts)
+    marks, commas, lines = before((kind & END) > 0), before((kind & COMMA) > 0), before(points == 10)
+    stop = (marks[ends] > marks[tail]) | (lines[after] > lines[ends])
     stop[-1] = True
-    return (starts, ends, stop) if offset is None else (offset[starts], offset[ends], stop)
+    comma = commas[ends] > commas[tail]
+    return (starts, ends, stop, comma) if offset is None else (offset[starts], offset[ends], stop, comma)
 
 
 def sentences(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -95,7 +104,7 @@ def sentences(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     A text without words has none of them.
     """
-    starts, ends, stop = words(raw)
+    starts, ends, stop, comma = words(raw)
     if not len(starts):
         return starts, ends, starts
     size = np.diff(np.concatenate(([-1], np.flatnonzero(stop))))
@@ -110,12 +119,16 @@ def sentences(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         windows = np.lib.stride_tricks.sliding_window_view(order[::-1], WINDOW)
         least = len(starts) - 1 - (np.arange(len(windows)) + windows.argmin(axis=1))     # the last one of equal words
         stop[least[np.repeat(size > LONGEST, size)[least]]] = True
+    stop |= comma
     return starts, ends, np.concatenate(([0], np.flatnonzero(stop[:-1]) + 1))
 
 
-def runs(raw: bytes, run: int, min_words: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(hash, first sentence, number of sentences) of every run in a text; words are compared A-Z lower-cased."""
-    starts, ends, first = sentences(raw)
+def runs(raw: bytes, run: int, min_words: int, units: tuple | None = None) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(hash, first sentence, number of sentences) of every run in a text; words are compared A-Z lower-cased.
+
+    ``units``: the text's :func:`sentences`, if at hand.
+    """
+    starts, ends, first = units or sentences(raw)
     bounds = np.append(first, len(starts))
     upto = np.maximum(np.arange(len(first)) + run, np.searchsorted(bounds, first + min_words))
     at = np.flatnonzero(upto <= len(first)) if len(first) else np.empty(0, np.int64)
@@ -151,9 +164,10 @@ def strip(raw: bytes, repeats: set[bytes], run: int, min_words: int) -> tuple[by
 
     A sentence takes the white space after it along.
     """
-    starts, _, first = sentences(raw)
+    units = sentences(raw)
+    starts, _, first = units
     gone = np.zeros(len(first), bool)
-    hashes, at, length = runs(raw, run, min_words)
+    hashes, at, length = runs(raw, run, min_words, units)
     seen = set(repeats)
     for i, h in enumerate(hashes):
         if h in seen:

@@ -157,6 +157,40 @@ def test_a_passage_inside_sentences_is_cut(spark):
         assert got[i].n_removed > 0 and left < 32
 
 
+def test_clauses_of_all_scripts():
+    parts = lambda text: len(ss.sentences(text.encode())[2])
+    assert parts("one two, three four, five (six), seven.") == 4 and parts("costs 1,234 or 5,6 in all") == 1
+    assert parts("一二、三四，五六。") == 3 and parts("واحد، اثنان، ثلاثة") == 3
+
+
+def test_passages_of_fifty_words_in_prose(spark):
+    """A passage of 51 to 60 words, put between any two words of a text, is found by the clauses it holds whole."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("bcdfghjklmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 4)))
+    def prose(n):
+        out, clause, left = [], rng.randint(4, 9), rng.randint(16, 30)
+        for _ in range(n):
+            clause, left = clause - 1, left - 1
+            out.append(word() + ("." if not left else "," if not clause else ""))
+            clause, left = clause if clause > 0 and left else rng.randint(4, 9), left or rng.randint(16, 30)
+        return out
+    rows, passages = [], [prose(rng.randint(51, 60)) for _ in range(40)]
+    for i, passage in enumerate(passages):
+        for k in (2 * i, 2 * i + 1):
+            text = prose(120)
+            at = rng.randint(0, len(text))
+            rows.append((k, " ".join(text[:at] + passage + text[at:])))
+    got = {r.doc_id: r for r in ss.dedup_sentences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = 0
+    for i, passage in enumerate(passages):
+        assert got[2 * i].n_removed == 0
+        old, new = dict(rows)[2 * i + 1].split(), got[2 * i + 1].text.split()
+        lost = len(old) - len(new)
+        assert lost <= len(passage)
+        found += 2 * lost > len(passage)
+    assert found >= 38
+
+
 def test_clashing_names_empty_table_and_stage(spark):
     text = "one two three four five. six seven eight nine ten. eleven twelve thirteen fourteen fifteen. sixteen."
     df = spark.createDataFrame([(1, text, 7, "a"), (2, text + " And more words here.", 8, "b"), (3, text, 9, "c"), (4, None, None, None)],
