@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flatwatch.llm.common import map_slices, row_key, table, utf8
-from flatwatch.session import materialize
+from flatwatch.session import materialize, release
 
 # fixed values: sentence ends that need a space or the text's end after them, those that need none
 ENDS = ".!?;:\u2026"
@@ -189,7 +189,8 @@ def repeated_runs(docs: DataFrame, doc_id: str, text: str, run: int, min_words:
 
     A document gives each of its runs once, so a text that repeats itself adds nothing to a hash. One shuffle brings
     hash and least document together, hash-aggregated on the map side; a second one joins the hashes of more than one
-    document back, and AQE splits those that very many hold. Copies of a run are never listed against each other.
+    document back, and AQE splits those that very many hold. Copies of a run are never listed against each other. All
+    runs, the largest table here, are deleted before the texts are shuffled.
     """
 
     def spans(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -201,14 +202,17 @@ def repeated_runs(docs: DataFrame, doc_id: str, text: str, run: int, min_words:
 
     kind = docs.schema[doc_id].dataType.simpleString()
     source = docs.select(F.col(doc_id).alias("id"), version(doc_id, text).alias("row"), F.col(text).alias("text"))
-    places = materialize(map_slices(source, spans, f"high long, low long, id {kind}, row long"), "sentence-runs")
+    made: list = []
+    places = materialize(map_slices(source, spans, f"high long, low long, id {kind}, row long"), "sentence-runs", made)
     # least id and least row of those without an id: a least struct of both would be aggregated by sorting
     first = materialize(places.groupBy("high", "low").agg(
         F.min("id").alias("first_id"), F.min(F.when(F.col("id").isNull(), F.col("row"))).alias("first_row"),
-        F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).drop("n"), "sentence-firsts")
+        F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).drop("n"), "sentence-firsts", made)
     is_first = (F.when(F.col("first_row").isNotNull(), F.col("id").isNull() & (F.col("row") == F.col("first_row")))
                 .otherwise(F.col("id") == F.col("first_id")))
-    return places.join(first, ["high", "low"]).filter(~is_first).select("id", "row", "high", "low")
+    later = materialize(places.join(first, ["high", "low"]).filter(~is_first).select("id", "row", "high", "low"), "sentence-repeats")
+    release(docs.sparkSession, made)
+    return later
 
 
 def version(doc_id: str, text: str) -> Column:
